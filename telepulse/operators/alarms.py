@@ -277,7 +277,8 @@ def consecutive_breach(metrics: DataFrame, rules: Sequence[AlarmRule], *, end: A
 
 
 def _number(value: Column) -> Column:
-    return F.format_string("%.2f", round_half_up(value, 2))
+    # format_string writes a NULL as text.
+    return F.when(value.isNotNull(), F.format_string("%.2f", round_half_up(value, 2)))
 
 
 def _reason() -> Column:

@@ -35,17 +35,20 @@ def unwrap_event(raw: DataFrame, column: str = "value") -> DataFrame:
     the object itself.
     """
     names = [field.split()[0] for field in EVENT_DDL.split(", ")]
-    outer = F.col("_outer")
+    outer, inner = F.col("_outer"), F.col("_inner")
     record = F.try_element_at(outer["Records"], F.lit(1))["Sns"]
+    message = F.when(record.isNotNull(), F.coalesce(record["Message"], F.lit("")))
     bare = F.struct(*[outer[name].alias(name) for name in names])
+    parsed = F.struct(
+        F.coalesce(inner, F.col(column)).alias("payload"),
+        F.when(inner.isNotNull(), F.from_json(inner, EVENT_DDL, _JSON)).otherwise(bare).alias("event"),
+    )
     return (
         raw.withColumn("_outer", F.from_json(column, ENVELOPE_DDL, _JSON))
-        .withColumn("_inner", F.coalesce(outer["body"], F.when(record.isNotNull(), F.coalesce(record["Message"], F.lit("")))))
-        .withColumn("payload", F.coalesce("_inner", column))
-        .withColumn(
-            "event",
-            F.when(F.col("_inner").isNotNull(), F.from_json("_inner", EVENT_DDL, _JSON)).otherwise(bare),
-        )
+        .withColumn("_inner", F.coalesce(outer["body"], message))
+        # Generated columns are computed once; as plain expressions a filter on
+        # them would be pushed below and parse the text again for every rule.
+        .select("*", F.inline(F.array(parsed)))
         .drop("_outer", "_inner")
     )
 

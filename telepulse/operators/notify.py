@@ -23,14 +23,18 @@ def parse_alarm(raw: DataFrame, column: str = "value") -> DataFrame:
     """Add ``alarm`` (struct) and ``warning``; a bad row never fails the job."""
     outer = F.from_json(column, NOTIFICATION_DDL)
     message = F.nullif(F.try_element_at(outer["Records"], F.lit(1))["Sns"]["Message"], F.lit(""))
-    warning = F.when(F.col("_message").isNull(), INVALID_ENVELOPE).when(
-        F.col("alarm.AlarmName").isNull() & F.try_parse_json("_message").isNull(), INVALID_MESSAGE
+    parsed = F.struct(
+        F.col("_message").alias("message"), F.from_json("_message", ALARM_DDL).alias("alarm")
     )
+    warning = F.when(F.col("message").isNull(), INVALID_ENVELOPE).when(
+        F.col("alarm.AlarmName").isNull() & F.try_parse_json("message").isNull(), INVALID_MESSAGE
+    )
+    # Generated, so that the text is parsed once and not again for a filter on it.
     return (
         raw.withColumn("_message", message)
-        .withColumn("alarm", F.from_json("_message", ALARM_DDL))
+        .select(*raw.columns, F.inline(F.array(parsed)))
         .withColumn("warning", warning)
-        .drop("_message")
+        .drop("message")
     )
 
 

@@ -87,7 +87,7 @@ def format_window_row(stats: DataFrame, *, measures: Sequence[str] = TELEMETRY_M
     A window without any reading of a measure has nothing between the commas.
     """
     def epoch_millis(name):
-        return (F.unix_micros(F.col(name).cast("timestamp")) / 1000).cast("bigint").cast("string")
+        return F.unix_millis(F.col(name).cast("timestamp")).cast("string")
 
     def fixed(name):
         text = F.format_string("%.2f", round_half_up(F.col(name).cast("double"), 2))

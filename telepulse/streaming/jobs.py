@@ -31,8 +31,23 @@ EVERY_30_MINUTES: Trigger = {"processingTime": "30 minutes"}
 LATENESS = "2 hours"
 
 
-def _to_files(df: DataFrame, path: str, checkpoint: str, partitions: list[str], trigger: Trigger) -> StreamingQuery:
-    writer = df.writeStream.format("parquet").outputMode("append")
+def _to_files(
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    partitions: list[str],
+    trigger: Trigger,
+    files: int,
+    spread: str,
+) -> StreamingQuery:
+    """Append to a partitioned table, at most ``files`` files a batch and partition.
+
+    Rows of a partition go to that many tasks by the hash of ``spread``: one
+    that holds most of a batch is shared out, and quiet ones do not get a file
+    from every task.
+    """
+    bucket = F.pmod(F.xxhash64(spread), F.lit(files))
+    writer = df.repartition(*partitions, bucket).writeStream.format("parquet").outputMode("append")
     return (
         writer.partitionBy(*partitions)
         .option("path", path)
@@ -52,23 +67,24 @@ def stream_ingest(
 ) -> StreamingQuery:
     """Validate messages (column ``value``) into the day-partitioned table.
 
-    Late events land in the partition of their own day. Each batch writes at
-    most ``files_per_day`` files per day, spread by device, so a day that holds
-    most of a batch does not end in one task.
+    Late events land in the partition of their own day.
     """
-    accepted = ingest.accepted_events(ingest.ingest(raw))
-    spread = F.pmod(F.xxhash64("device_id", "event_time"), F.lit(files_per_day))
-    rows = accepted.repartition(*PARTITION_COLUMNS, spread)
-    return _to_files(rows, path, checkpoint, PARTITION_COLUMNS, trigger)
+    rows = ingest.accepted_events(ingest.ingest(raw))
+    return _to_files(rows, path, checkpoint, PARTITION_COLUMNS, trigger, files_per_day, "event_time")
 
 
 def stream_rejects(
-    raw: DataFrame, path: str, checkpoint: str, *, trigger: Trigger = EVERY_MINUTE
+    raw: DataFrame,
+    path: str,
+    checkpoint: str,
+    *,
+    trigger: Trigger = EVERY_MINUTE,
+    files_per_day: int = 16,
 ) -> StreamingQuery:
     """Write the rejected messages of the same source to a quarantine table."""
     rejected = ingest.rejected_events(ingest.ingest(raw)).withColumn("rejected_at", F.current_timestamp())
     dated = rejected.withColumn("date", F.col("rejected_at").cast("date"))
-    return _to_files(dated, path, checkpoint, ["date"], trigger)
+    return _to_files(dated, path, checkpoint, ["date"], trigger, files_per_day, "payload")
 
 
 def streaming_window_stats(
@@ -90,10 +106,12 @@ def stream_window_stats(
     lateness: str = LATENESS,
     deduplicate: bool = False,
     trigger: Trigger = EVERY_10_MINUTES,
+    files_per_hour: int = 4,
 ) -> StreamingQuery:
     stats = streaming_window_stats(telemetry, lateness=lateness, deduplicate=deduplicate)
     rows = with_partition_columns(stats, "window_start", hour=True)
-    return _to_files(rows, path, checkpoint, [*PARTITION_COLUMNS, "hour"], trigger)
+    keys = [*PARTITION_COLUMNS, "hour"]
+    return _to_files(rows, path, checkpoint, keys, trigger, files_per_hour, "device_id")
 
 
 def _metrics_job(
