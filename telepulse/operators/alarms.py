@@ -355,5 +355,5 @@ def alarm_notifications(transitions: DataFrame) -> DataFrame:
     )
     record = F.struct(F.struct(message.alias("Message")).alias("Sns"))
     return transitions.select(
-        "alarm", "changed_at", F.to_json(F.struct(F.array(record).alias("Records"))).alias("value")
+        F.col("alarm").alias("alarm_name"), "changed_at", F.to_json(F.struct(F.array(record).alias("Records"))).alias("value")
     )

@@ -43,13 +43,13 @@ def unwrap_event(raw: DataFrame, column: str = "value") -> DataFrame:
         F.coalesce(inner, F.col(column)).alias("payload"),
         F.when(inner.isNotNull(), F.from_json(inner, EVENT_DDL, _JSON)).otherwise(bare).alias("event"),
     )
+    kept = [name for name in raw.columns if name not in ("payload", "event")]
     return (
         raw.withColumn("_outer", F.from_json(column, ENVELOPE_DDL, _JSON))
         .withColumn("_inner", F.coalesce(outer["body"], message))
         # Generated columns are computed once; as plain expressions a filter on
         # them would be pushed below and parse the text again for every rule.
-        .select("*", F.inline(F.array(parsed)))
-        .drop("_outer", "_inner")
+        .select(*kept, F.inline(F.array(parsed)))
     )
 
 

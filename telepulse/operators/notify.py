@@ -24,17 +24,18 @@ def parse_alarm(raw: DataFrame, column: str = "value") -> DataFrame:
     outer = F.from_json(column, NOTIFICATION_DDL)
     message = F.nullif(F.try_element_at(outer["Records"], F.lit(1))["Sns"]["Message"], F.lit(""))
     parsed = F.struct(
-        F.col("_message").alias("message"), F.from_json("_message", ALARM_DDL).alias("alarm")
+        F.col("_text").alias("_message"), F.from_json("_text", ALARM_DDL).alias("alarm")
     )
-    warning = F.when(F.col("message").isNull(), INVALID_ENVELOPE).when(
-        F.col("alarm.AlarmName").isNull() & F.try_parse_json("message").isNull(), INVALID_MESSAGE
+    warning = F.when(F.col("_message").isNull(), INVALID_ENVELOPE).when(
+        F.col("alarm.AlarmName").isNull() & F.try_parse_json("_message").isNull(), INVALID_MESSAGE
     )
+    kept = [name for name in raw.columns if name != "alarm"]
     # Generated, so that the text is parsed once and not again for a filter on it.
     return (
-        raw.withColumn("_message", message)
-        .select(*raw.columns, F.inline(F.array(parsed)))
+        raw.withColumn("_text", message)
+        .select(*kept, F.inline(F.array(parsed)))
         .withColumn("warning", warning)
-        .drop("message")
+        .drop("_message")
     )
 
 
