@@ -136,7 +136,7 @@ def rules_frame(spark: SparkSession, rules: Sequence[AlarmRule]) -> DataFrame:
         )
         for rule in rules
     ]
-    return spark.range(1).select(F.inline(F.array(*rows)))
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
 
 
 def metric_period_stat(
@@ -169,12 +169,15 @@ def alarm_values(metrics: DataFrame, rules: Sequence[AlarmRule]) -> DataFrame:
     points = metrics.select(
         "namespace",
         "metric",
-        dimension_key(F.col("dimensions")).alias("dimension_key"),
+        "dimensions",
         "value",
         F.unix_seconds(F.col("ts").cast("timestamp")).alias("second"),
     )
-    # The rules are listed in code: broadcasting them is bounded.
-    matched = points.join(F.broadcast(frame), ["namespace", "metric", "dimension_key"])
+    # The rules are listed in code: broadcasting them is bounded. Dimensions
+    # are only spelled out for metrics that some rule is about.
+    matched = points.join(F.broadcast(frame), ["namespace", "metric"]).filter(
+        dimension_key(F.col("dimensions")) == F.col("dimension_key")
+    )
     start = F.col("second") - F.pmod("second", F.col("period_seconds"))
     # Further rule columns are the same in all rows of an alarm.
     stats = matched.groupBy("alarm", "statistic", "period_seconds", start.alias("period_start")).agg(

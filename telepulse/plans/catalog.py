@@ -78,6 +78,11 @@ def _as_text(metrics: DataFrame) -> DataFrame:
     return metrics.withColumn("dimensions", F.to_json("dimensions"))
 
 
+def _run_folder(spark: SparkSession, name: str) -> tuple[str, str]:
+    root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{root}/table", f"{root}/checkpoint"
+
+
 # --- sources, sinks, catalog ---------------------------------------------------
 def _telemetry_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV lines with their paths, a header line for each day's file."""
@@ -134,6 +139,31 @@ _on_telemetry("bi_fleet_daily_health", health.bi_fleet_daily_health)
 _on_telemetry("bi_device_status_summary", health.bi_device_status_summary)
 
 
+@_register
+def write_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The telemetry table as it reads back after it was written."""
+    table, _ = _run_folder(spark, "write_raw")
+    tables.write_raw(telemetry(spark, sf_dir), table)
+    return _without_time_zone(files.read_telemetry(spark, table), "event_time")
+
+
+@_register
+def write_window_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily windows written twice: the second run replaces the first."""
+    table, _ = _run_folder(spark, "write_window_stats")
+    for _ in range(2):
+        tables.write_window_stats(windows.window_stats_daily(telemetry(spark, sf_dir)), table)
+    return _window_rows(spark.read.parquet(table).drop("year", "month", "day", "hour"))
+
+
+@_register
+def append_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly KPI metrics as the metrics table gives them back."""
+    table, _ = _run_folder(spark, "append_metrics")
+    tables.append_metrics(_kpi_points(spark, sf_dir), table, run="history")
+    return _as_text(_without_time_zone(tables.read_metrics(spark, table), "ts"))
+
+
 @_register
 def create_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The views answer SQL: devices in trouble on the days their fleet was."""
@@ -466,11 +496,6 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
 
 
-def _run_folder(spark: SparkSession, name: str) -> tuple[str, str]:
-    root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    return f"{root}/table", f"{root}/checkpoint"
-
-
 def _finish(query) -> None:
     query.awaitTermination()
 
@@ -480,7 +505,7 @@ def stream_window_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     table, checkpoint = _run_folder(spark, "stream_window_stats")
     stream = adapters.telemetry_from_events(_event_stream(spark, sf_dir))
     _finish(jobs.stream_window_stats(stream, table, checkpoint, trigger=jobs.ONCE))
-    rows = spark.read.parquet(table).drop("year", "month", "day", "hour")
+    rows = spark.read.parquet(table).drop("year", "month", "day")
     return _window_rows(_without_time_zone(rows, "window_start", "window_end"))
 
 

@@ -789,6 +789,9 @@ FROM notices""",
         VALIDATED,
     ),
 }
+ORACLES["write_raw"] = over_telemetry(f"SELECT {ALL} FROM telemetry")
+ORACLES["write_window_stats"] = ORACLES["window_stats_daily"]
+ORACLES["append_metrics"] = over_telemetry(kpi_metrics("kpis", "'ALL'", "period_start"), kpi_history("1 hour"))
 ORACLES["stream_rejects"] = ORACLES["reject_summary"]
 ORACLES["stream_kpis"] = ORACLES["kpi_metrics"]
 ORACLES["stream_quality"] = ORACLES["quality_metrics"]

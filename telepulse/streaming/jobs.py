@@ -106,12 +106,12 @@ def stream_window_stats(
     lateness: str = LATENESS,
     deduplicate: bool = False,
     trigger: Trigger = EVERY_10_MINUTES,
-    files_per_hour: int = 4,
+    files_per_day: int = 16,
 ) -> StreamingQuery:
+    """Append final windows to a table partitioned by the day they start in."""
     stats = streaming_window_stats(telemetry, lateness=lateness, deduplicate=deduplicate)
-    rows = with_partition_columns(stats, "window_start", hour=True)
-    keys = [*PARTITION_COLUMNS, "hour"]
-    return _to_files(rows, path, checkpoint, keys, trigger, files_per_hour, "device_id")
+    rows = with_partition_columns(stats, "window_start")
+    return _to_files(rows, path, checkpoint, PARTITION_COLUMNS, trigger, files_per_day, "device_id")
 
 
 def _metrics_job(

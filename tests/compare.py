@@ -19,6 +19,17 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+# How DuckDB names Spark's types.
+_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def _plain(value):
     if isinstance(value, float):
         return "nan" if math.isnan(value) else value
@@ -33,6 +44,10 @@ def _rows(columns, rows):
     return sorted(shaped, key=repr)
 
 
+def result_types(connection, sql: str):
+    return connection.execute(f"SELECT column_name, column_type FROM (DESCRIBE {sql})").fetchall()
+
+
 def differences(spark_frame, connection, sql: str) -> list[str]:
     """Empty if both give the same; else what differs, with samples."""
     result = connection.execute(sql)
@@ -40,6 +55,10 @@ def differences(spark_frame, connection, sql: str) -> list[str]:
     expected = _rows(sql_columns, result.fetchall())
     actual = _rows(spark_frame.columns, [tuple(r) for r in spark_frame.collect()])
     found = []
+    sql_types = {d[0]: str(d[1]) for d in result_types(connection, sql)}
+    for name, kind in spark_frame.dtypes:
+        if _TYPES.get(kind, kind.upper()) != sql_types.get(name):
+            found.append(f"type of {name}: {kind} != {sql_types.get(name)}")
     if sorted(spark_frame.columns) != sorted(sql_columns):
         found.append(f"columns {sorted(spark_frame.columns)} != {sorted(sql_columns)}")
     if len(actual) != len(expected):
