@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from telepulse.functions.calendar import AsOf, moment_literal
@@ -118,25 +118,38 @@ RULES = {
 }
 
 
-def rules_frame(spark: SparkSession, rules: Sequence[AlarmRule]) -> DataFrame:
-    """Rules as rows. They are listed in code, so the frame is small."""
-    rows = [
-        F.struct(
-            F.lit(rule.name).alias("alarm"),
-            F.lit(rule.description).alias("description"),
-            F.lit(rule.namespace).alias("namespace"),
-            F.lit(rule.metric).alias("metric"),
-            F.lit(rule.key()).alias("dimension_key"),
-            F.lit(rule.statistic).alias("statistic"),
-            F.lit(rule.period_seconds).cast("bigint").alias("period_seconds"),
-            F.lit(float(rule.threshold)).alias("threshold"),
-            F.lit(rule.comparison).alias("comparison"),
-            F.lit(rule.periods).alias("periods"),
-            F.lit(rule.missing).alias("missing"),
-        )
-        for rule in rules
-    ]
-    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
+def _rule_struct(rule: AlarmRule) -> Column:
+    return F.struct(
+        F.lit(rule.name).alias("alarm"),
+        F.lit(rule.description).alias("description"),
+        F.lit(rule.namespace).alias("namespace"),
+        F.lit(rule.metric).alias("metric"),
+        F.lit(rule.key()).alias("dimension_key"),
+        F.lit(rule.statistic).alias("statistic"),
+        F.lit(rule.period_seconds).cast("bigint").alias("period_seconds"),
+        F.lit(float(rule.threshold)).alias("threshold"),
+        F.lit(rule.comparison).alias("comparison"),
+        F.lit(rule.periods).alias("periods"),
+        F.lit(rule.missing).alias("missing"),
+    )
+
+
+def _rules_of_metric(rules: Sequence[AlarmRule], namespace: Column, metric: Column) -> Column:
+    """Array of the rules about a metric, NULL for none.
+
+    Rules are listed in code, so they are a literal to look up, not a table to
+    join.
+    """
+    groups: dict[str, list[Column]] = {}
+    for rule in rules:
+        groups.setdefault(f"{rule.namespace}|{rule.metric}", []).append(_rule_struct(rule))
+    entries = [x for key, group in groups.items() for x in (F.lit(key), F.array(*group))]
+    return F.try_element_at(F.create_map(*entries), F.concat(namespace, F.lit("|"), metric))
+
+
+def _rule_named(rules: Sequence[AlarmRule], name: Column) -> Column:
+    entries = [x for rule in rules for x in (F.lit(rule.name), _rule_struct(rule))]
+    return F.try_element_at(F.create_map(*entries), name)
 
 
 def metric_period_stat(
@@ -165,18 +178,15 @@ def metric_period_stat(
 
 def alarm_values(metrics: DataFrame, rules: Sequence[AlarmRule]) -> DataFrame:
     """The value each alarm compares, per period of its own length."""
-    frame = rules_frame(metrics.sparkSession, rules)
     points = metrics.select(
-        "namespace",
-        "metric",
         "dimensions",
         "value",
         F.unix_seconds(F.col("ts").cast("timestamp")).alias("second"),
+        F.explode(_rules_of_metric(rules, F.col("namespace"), F.col("metric"))).alias("rule"),
     )
-    # The rules are listed in code: broadcasting them is bounded. Dimensions
-    # are only spelled out for metrics that some rule is about.
-    matched = points.join(F.broadcast(frame), ["namespace", "metric"]).filter(
-        dimension_key(F.col("dimensions")) == F.col("dimension_key")
+    # Dimensions are only spelled out for metrics that some rule is about.
+    matched = points.filter(dimension_key(F.col("dimensions")) == F.col("rule.dimension_key")).select(
+        "value", "second", "rule.alarm", "rule.statistic", "rule.period_seconds"
     )
     start = F.col("second") - F.pmod("second", F.col("period_seconds"))
     # Further rule columns are the same in all rows of an alarm.
@@ -220,9 +230,9 @@ def evaluate_alarms(
     A missing period does not breach; where the rule does not say so and all N
     periods are missing, the state is INSUFFICIENT_DATA. Else it is OK.
     """
-    spark = metrics.sparkSession
-    series = _with_missing_periods(alarm_values(metrics, rules), end)
-    series = series.join(F.broadcast(rules_frame(spark, rules)), "alarm")
+    values = _with_missing_periods(alarm_values(metrics, rules), end)
+    rule = _rule_named(rules, F.col("alarm"))
+    series = values.withColumn("rule", rule).select("period_start", "value", "rule.*")
     above = F.col("value") > F.col("threshold")
     at_or_above = F.col("value") >= F.col("threshold")
     breach = F.coalesce(F.when(F.col("comparison") == ">=", at_or_above).otherwise(above), F.lit(False))

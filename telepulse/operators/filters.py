@@ -9,8 +9,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from telepulse.functions.calendar import (
@@ -97,8 +96,8 @@ def is_error() -> Column:
     return F.col("status") == "ERROR"
 
 
-def is_low_battery() -> Column:
-    return F.col("battery_level") < LOW_BATTERY_PCT
+def is_low_battery(limit: float = LOW_BATTERY_PCT) -> Column:
+    return F.col("battery_level") < limit
 
 
 def is_stopped() -> Column:
@@ -109,7 +108,7 @@ def is_stalled() -> Column:
     return is_stopped() & (F.col("status") == "ACTIVE")
 
 
-def is_hot() -> Column:
+def is_hot(limit: float = HIGH_TEMPERATURE) -> Column:
     # Spark orders NaN above every number.
     temperature = F.col("temperature_celsius")
-    return (temperature > HIGH_TEMPERATURE) & ~F.isnan(temperature)
+    return (temperature > limit) & ~F.isnan(temperature)

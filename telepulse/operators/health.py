@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from telepulse.functions.numeric import mean, percentage, round_half_up
 from telepulse.operators.filters import is_error, is_hot, is_low_battery, is_stalled, is_stopped
-from telepulse.schema import PARTITION_COLUMNS
+from telepulse.schema import HIGH_TEMPERATURE, LOW_BATTERY_PCT, PARTITION_COLUMNS
 
 
-def fleet_daily_health(df: DataFrame) -> DataFrame:
+def fleet_daily_health(
+    df: DataFrame, *, low_battery: float = LOW_BATTERY_PCT, high_temperature: float = HIGH_TEMPERATURE
+) -> DataFrame:
     """One row per day and fleet.
 
     The single distinct count is split by Spark over (day, fleet, device)
@@ -22,17 +24,17 @@ def fleet_daily_health(df: DataFrame) -> DataFrame:
         F.count_if(is_error()).alias("error_count"),
         percentage(F.count_if(is_error()), F.count("*")).alias("error_rate_pct"),
         round_half_up(F.avg("battery_level"), 1).alias("avg_battery_pct"),
-        F.count_if(is_low_battery()).alias("critical_battery_events"),
+        F.count_if(is_low_battery(low_battery)).alias("critical_battery_events"),
         F.min("battery_level").alias("min_battery_pct"),
         round_half_up(F.avg("speed_mps"), 2).alias("avg_speed_mps"),
         F.count_if(is_stalled()).alias("stalled_events"),
         round_half_up(F.avg("temperature_celsius"), 1).alias("avg_temp_celsius"),
         F.max("temperature_celsius").alias("max_temp_celsius"),
-        F.count_if(is_hot()).alias("high_temp_events"),
+        F.count_if(is_hot(high_temperature)).alias("high_temp_events"),
     )
 
 
-def _sums(df: DataFrame, keys: list[str]) -> DataFrame:
+def _sums(df: DataFrame, keys: list[str], low_battery: float = LOW_BATTERY_PCT) -> DataFrame:
     """Mergeable measures per key; all buffers are numbers, so this is a hash
     aggregate with map-side combine. Columns nobody reads are pruned."""
     return df.groupBy(*keys).agg(
@@ -42,7 +44,7 @@ def _sums(df: DataFrame, keys: list[str]) -> DataFrame:
         F.count("battery_level").alias("battery_count"),
         F.sum("battery_level").alias("battery_sum"),
         F.min("battery_level").alias("battery_min"),
-        F.count_if(is_low_battery()).alias("low_batteries"),
+        F.count_if(is_low_battery(low_battery)).alias("low_batteries"),
         F.count("temperature_celsius").alias("temperature_count"),
         F.sum("temperature_celsius").alias("temperature_sum"),
         F.max("temperature_celsius").alias("temperature_max"),
@@ -101,7 +103,7 @@ def device_measures(df: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def zone_activity(df: DataFrame) -> DataFrame:
+def zone_activity(df: DataFrame, *, low_battery: float = LOW_BATTERY_PCT) -> DataFrame:
     """One row per day and zone.
 
     Two distinct counts make Spark copy every row per count; folding to
@@ -109,7 +111,7 @@ def zone_activity(df: DataFrame) -> DataFrame:
     """
     keys = [*PARTITION_COLUMNS, "location_zone"]
     return (
-        _sums(df, [*keys, "device_id", "fleet_id"])
+        _sums(df, [*keys, "device_id", "fleet_id"], low_battery)
         .groupBy(*keys)
         .agg(
             F.sum("events").alias("total_events"),

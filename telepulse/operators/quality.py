@@ -148,7 +148,9 @@ def quality_metrics(checks: DataFrame, *, as_of: AsOf = None) -> DataFrame:
     )
 
 
-def _alerts() -> list[tuple[str, Column]]:
+def _alerts(
+    stale_after: int = STALE_AFTER_MINUTES, max_drop: int = MAX_DEVICE_DROP_PCT
+) -> list[tuple[str, Column]]:
     """Check name and its alert text, NULL where the check passed."""
 
     def number(name: str) -> Column:
@@ -174,25 +176,25 @@ def _alerts() -> list[tuple[str, Column]]:
         F.abs("delta_percent").cast("string"),
         F.lit("%\nAction: Check the connectivity of the fleet and its gateways."),
     )
-    fell = (F.col("yesterday_count") > 0) & (F.col("delta_percent") < -MAX_DEVICE_DROP_PCT)
+    fell = (F.col("yesterday_count") > 0) & (F.col("delta_percent") < -max_drop)
     return [
-        ("freshness", F.when(F.col("freshness_minutes") > STALE_AFTER_MINUTES, stale)),
+        ("freshness", F.when(F.col("freshness_minutes") > stale_after, stale)),
         ("partition", F.when(~F.col("partition_exists"), missing)),
         ("device_count", F.when(fell, dropped)),
     ]
 
 
-def quality_alerts(checks: DataFrame) -> DataFrame:
+def quality_alerts(checks: DataFrame, **thresholds: int) -> DataFrame:
     """One row per failed check."""
     alerts = F.array(
-        *[F.struct(F.lit(name).alias("check"), text.alias("text")) for name, text in _alerts()]
+        *[F.struct(F.lit(name).alias("check"), text.alias("text")) for name, text in _alerts(**thresholds)]
     )
     return checks.select(F.inline(alerts)).filter(F.col("text").isNotNull())
 
 
-def consolidated_alert(checks: DataFrame) -> DataFrame:
+def consolidated_alert(checks: DataFrame, **thresholds: int) -> DataFrame:
     """One message with all failed checks; no row if none failed."""
-    texts = F.array_compact(F.array(*[text for _, text in _alerts()]))
+    texts = F.array_compact(F.array(*[text for _, text in _alerts(**thresholds)]))
     return (
         checks.select(texts.alias("texts"))
         .filter(F.size("texts") > 0)
@@ -207,9 +209,9 @@ def consolidated_alert(checks: DataFrame) -> DataFrame:
     )
 
 
-def quality_report(checks: DataFrame) -> DataFrame:
+def quality_report(checks: DataFrame, **thresholds: int) -> DataFrame:
     """The outcome of the checks as one JSON text."""
-    fired = F.size(F.array_compact(F.array(*[text for _, text in _alerts()])))
+    fired = F.size(F.array_compact(F.array(*[text for _, text in _alerts(**thresholds)])))
     report = F.struct(
         F.lit(3).alias("checksRun"),
         fired.alias("alertsFired"),

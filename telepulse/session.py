@@ -15,6 +15,12 @@ TUNING = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Window state of a large fleet outgrows the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    # Call sites of every column expression are only of use in debugging.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -29,7 +29,7 @@ def table(spark, make, tmp_path_factory):
 @pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith("stream_")])
 def test_no_python_no_cross_join(spark, name):
     text = plan(QUERIES[name](spark, SF_DIR))
-    for bad in ("PythonUDF", "ArrowEvalPython", "BatchEvalPython", "MapInPandas", "CartesianProduct", "NestedLoopJoin"):
+    for bad in ("PythonUDF", "ArrowEvalPython", "BatchEvalPython", "MapInPandas", "CartesianProduct", "NestedLoopJoin", "SortMergeJoin"):
         assert bad not in text
 
 
