@@ -32,6 +32,12 @@ def _case(column: Column, mapping: dict[str, str]) -> Column:
     return F.create_map(*pairs)[column]
 
 
+def _battery_level() -> Column:
+    """Field k of the JSON properties; a document of only k needs no parser."""
+    alone = F.regexp_extract("props", r'^\{"k": (\d{1,9})\}$', 1).try_cast("int")
+    return F.coalesce(alone, F.get_json_object("props", "$.k").try_cast("int"))
+
+
 def telemetry_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Telemetry rows with partition columns; ``keep`` passes source columns on."""
     user = F.col("user_id").cast("string")
@@ -43,7 +49,7 @@ def telemetry_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> Data
         ).alias("device_id"),
         _one_of(number % 3, _FLEETS).alias("fleet_id"),
         F.col("ts").alias("event_time"),
-        F.get_json_object("props", "$.k").try_cast("int").alias("battery_level"),
+        _battery_level().alias("battery_level"),
         F.when(kind.isin("click", "signup"), (number % 7) * F.lit(0.5))
         .otherwise(F.lit(0.0))
         .alias("speed_mps"),
