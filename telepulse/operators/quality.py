@@ -156,6 +156,7 @@ def _alerts(
     def number(name: str) -> Column:
         return F.col(name).cast("string")
 
+    # --- fixed values: alert texts ---
     stale = F.concat(
         F.lit("🚨 DATA FRESHNESS ALERT\nLast telemetry received: "),
         F.col("last_seen"),

@@ -164,8 +164,7 @@ def kpi_metrics(source: str, fleet: str, stamp: str) -> str:
     )
 
 
-def day_kpis(as_of: str) -> str:
-    return f"kpis AS (SELECT {KPI_COLUMNS} FROM devices)"
+DAY_KPIS = f"kpis AS (SELECT {KPI_COLUMNS} FROM devices)"
 
 
 FLEET_KPIS = (
@@ -618,12 +617,12 @@ FROM validated""",
     "kpi_metrics": over_telemetry(
         kpi_metrics("kpis", "'ALL'", f"TIMESTAMP '{KPI_AS_OF}'"),
         device_day(day_of(KPI_AS_OF)),
-        day_kpis(KPI_AS_OF),
+        DAY_KPIS,
     ),
     "kpis_no_data": over_telemetry(
         kpi_metrics("kpis", "'ALL'", f"TIMESTAMP '{NO_DATA_AS_OF}'"),
         device_day(day_of(NO_DATA_AS_OF)),
-        day_kpis(NO_DATA_AS_OF),
+        DAY_KPIS,
     ),
     "kpi_metrics_by_fleet": over_telemetry(
         kpi_metrics("kpis", "fleet", f"TIMESTAMP '{KPI_AS_OF}'"),

@@ -4,7 +4,6 @@ from datetime import datetime, timedelta
 
 import pytest
 from conftest import only
-from pyspark.sql import functions as F
 
 from telepulse.operators import alarms, notify
 from telepulse.schema import METRICS_DDL

@@ -1,7 +1,6 @@
 from conftest import only
 
 from telepulse.operators import filters, health, reports
-from telepulse.plans.catalog import AD_HOC_SQL  # noqa: F401  (importable without data)
 
 
 def test_fleet_counts_conditions(make):
