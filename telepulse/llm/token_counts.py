@@ -185,7 +185,7 @@ def token_counts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = transducer(path)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 2 << 20):
             found = texts(batch.column("text"))
             counts = count_tokens(found, machine)
             yield pa.RecordBatch.from_arrays(
