@@ -43,7 +43,7 @@ NEEDED = {
     "id_number": "-[0-9]{2}-",
 }
 LONE_SEPARATOR = r"[ \-](?![0-9])|(?<![0-9])[ \-]"
-PART = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
+PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 
 START_SCORE = {"email": 0.9, "ip": 0.6, "card": 0.7, "phone": 0.6, "iban": 0.9, "id_number": 0.3}
 CONTEXT_WORDS = {
