@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from telepulse.llm import bpe, fingerprints, pii, token_counts
+from telepulse.llm import bpe, chat, fingerprints, pii, token_counts
 from telepulse.llm.tables import read_table
 
 
@@ -22,6 +22,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(read_table(spark, sf_dir, "documents"))
 
 
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.chat_digests(read_table(spark, sf_dir, "conversations"))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(read_table(spark, sf_dir, "documents"))
 
@@ -30,7 +34,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_pii": op3_pii,
     "op5_bpe": op5_bpe,
+    "op6_chat": op6_chat,
     "op9_fingerprints": op9_fingerprints,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_chat": chat.chat_sql(),
+}
