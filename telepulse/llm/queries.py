@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from telepulse.llm import bpe, chat, fingerprints, pii, token_counts
+from telepulse.llm import bpe, chat, fingerprints, pii, setsketch, token_counts
 from telepulse.llm.tables import read_table
 
 
@@ -26,6 +26,10 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digests(read_table(spark, sf_dir, "conversations"))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(read_table(spark, sf_dir, "documents"))
 
@@ -35,6 +39,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pii": op3_pii,
     "op5_bpe": op5_bpe,
     "op6_chat": op6_chat,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_fingerprints": op9_fingerprints,
 }
 
