@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from telepulse.llm import bpe, chat, fingerprints, pii, setsketch, token_counts
+from telepulse.llm import bpe, chat, context_tree, fingerprints, pii, setsketch, token_counts
 from telepulse.llm.tables import read_table
 
 
+def op1_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score_texts(read_table(spark, sf_dir, "documents"))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"))
 
@@ -35,6 +39,7 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_context_tree": op1_context_tree,
     "op2_token_counts": op2_token_counts,
     "op3_pii": op3_pii,
     "op5_bpe": op5_bpe,
