@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from telepulse.llm import bpe, chat, context_tree, fingerprints, pii, setsketch, token_counts
+from telepulse.llm import bpe, chat, context_tree, fingerprints, partition_index, pii, setsketch, token_counts
 from telepulse.llm.tables import read_table
 
 
@@ -22,6 +22,10 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find_pii(read_table(spark, sf_dir, "documents"))
 
 
+def op4_partition_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partition_index.nearest(read_table(spark, sf_dir, "embeddings"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digests(read_table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_context_tree": op1_context_tree,
     "op2_token_counts": op2_token_counts,
     "op3_pii": op3_pii,
+    "op4_partition_search": op4_partition_search,
     "op5_bpe": op5_bpe,
     "op6_chat": op6_chat,
     "op8_near_duplicates": op8_near_duplicates,
