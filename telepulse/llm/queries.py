@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from telepulse.llm import bpe, chat, context_tree, fingerprints, partition_index, pii, setsketch, token_counts
+from telepulse.llm import bpe, chat, context_tree, cotraining, fingerprints, mixing, partition_index, pii, setsketch, token_counts
 from telepulse.llm.tables import read_table
 
 
@@ -34,6 +34,10 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digests(read_table(spark, sf_dir, "conversations"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_rates(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,10 @@ def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(read_table(spark, sf_dir, "documents"))
 
 
+def op10_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_context_tree": op1_context_tree,
     "op2_token_counts": op2_token_counts,
@@ -49,8 +57,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_partition_search": op4_partition_search,
     "op5_bpe": op5_bpe,
     "op6_chat": op6_chat,
+    "op7_mixing": op7_mixing,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_fingerprints": op9_fingerprints,
+    "op10_cotraining": op10_cotraining,
 }
 
 ORACLES: dict[str, str] = {
