@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from telepulse.llm.tables import bound_batches, slices
 
 LANES, SIGNS = 8, 256
-PHRASE = re.compile(r"[^.,;:!?|\n]{1,48}[.,;:!?|\n]*")
+PHRASE = re.compile(r"[^.,;:!?|\n]{1,48}[.,;:!?|]*")
 FIRST = -(1 << 63)
 
 Fingerprint = tuple[np.ndarray, np.ndarray]
