@@ -114,9 +114,11 @@ def fit_rates(table: DataFrame, targets: dict[str, float], least: float, most: f
     mass = np.array([x or 0.0 for x in first[1 : 1 + len(DOMAINS)]])
     if total <= 0:
         return []
-    wanted = np.array([targets.get(d, 0.0) for d in DOMAINS])
-    wanted = wanted / wanted.sum() * total
     alive = mass > 1e-9 * total
+    wanted = np.where(alive, [targets.get(d, 0.0) for d in DOMAINS], 0.0)
+    if wanted.sum() <= 0:
+        return []
+    wanted = wanted / wanted.sum() * total
     weight = np.where(alive, 1 / np.maximum(mass, 1e-300), 0.0)
     gram = np.array(first[1 + len(DOMAINS) :]).reshape(len(DOMAINS), -1)
     length = 1 / np.linalg.eigvalsh(np.sqrt(weight)[:, None] * gram * np.sqrt(weight)).max()
