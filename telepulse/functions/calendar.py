@@ -71,8 +71,11 @@ def with_partition_columns(df: DataFrame, column: str = "event_time", hour: bool
 
 
 def lenient_timestamp(text: Column) -> Column:
-    """Timestamp of ISO or space-separated text; NULL where it is neither."""
-    return text.try_cast("timestamp")
+    """Timestamp of ISO or space-separated text with a full date; NULL where it is neither.
+
+    A time alone would fall on the day of the run, a year alone on its first day.
+    """
+    return F.when(text.rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}(?:[T ].*)?$"), text.try_cast("timestamp"))
 
 
 def display_time(text: Column) -> Column:

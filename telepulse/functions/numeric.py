@@ -7,13 +7,8 @@ from pyspark.sql import functions as F
 
 
 def round_half_up(value: Column, digits: int) -> Column:
-    """Round a double half away from zero on its decimal, not binary, digits.
-
-    Going through a decimal of six digits settles binary ties such as 1.005.
-    What a decimal cannot hold (NaN, huge values) is rounded as a double.
-    """
-    exact = F.round(value.try_cast("decimal(18,6)"), digits).cast("double")
-    return F.coalesce(exact, F.round(value, digits))
+    """Round a double half away from zero on the decimal digits it is shown with, so 1.005 gives 1.01."""
+    return F.round(value.cast("double"), digits)
 
 
 def percentage(part: Column, whole: Column, digits: int = 2) -> Column:

@@ -1,8 +1,9 @@
 """Row filters.
 
 Day filters name the partition columns and the event time: the first prunes
-folders of the stored table, the second skips row groups and serves frames
-that have no partitions.
+folders of the stored table, the second skips row groups. A row of the
+partition whose time could not be read belongs to its day and is kept; the
+hour filter needs a time.
 """
 
 from __future__ import annotations
@@ -28,16 +29,20 @@ from telepulse.schema import (
 )
 
 
+def _within(start: datetime, end: datetime, closed: bool = False) -> Column:
+    return F.col("event_time").isNull() | between_moments("event_time", start, end, closed)
+
+
 def on_day(df: DataFrame, *, as_of: AsOf = None) -> DataFrame:
     """Rows of the UTC day of ``as_of``, up to that moment."""
     moment = utc_moment(as_of)
-    return df.filter(in_day_partition(moment) & between_moments("event_time", midnight(moment), moment, True))
+    return df.filter(in_day_partition(moment) & _within(midnight(moment), moment, True))
 
 
 def on_whole_day(df: DataFrame, *, day: AsOf) -> DataFrame:
     start = midnight(utc_moment(day))
     return df.filter(
-        in_day_partition(start) & between_moments("event_time", start, start + timedelta(days=1))
+        in_day_partition(start) & _within(start, start + timedelta(days=1))
     )
 
 
@@ -46,14 +51,14 @@ def on_two_days(df: DataFrame, *, as_of: AsOf = None) -> DataFrame:
     moment = utc_moment(as_of)
     before = moment - timedelta(days=1)
     days = in_day_partition(moment) | in_day_partition(before)
-    return df.filter(days & between_moments("event_time", midnight(before), moment, True))
+    return df.filter(days & _within(midnight(before), moment, True))
 
 
 def in_month(df: DataFrame, *, year: int, month: int) -> DataFrame:
     start = datetime(year, month, 1)
     end = datetime(year + month // 12, month % 12 + 1, 1)
     in_partition = (F.col("year") == f"{start:%Y}") & (F.col("month") == f"{start:%m}")
-    return df.filter(in_partition & between_moments("event_time", start, end))
+    return df.filter(in_partition & _within(start, end))
 
 
 def in_previous_hour(df: DataFrame, *, as_of: AsOf = None) -> DataFrame:

@@ -34,7 +34,7 @@ def fleet_daily_health(
     )
 
 
-def _sums(df: DataFrame, keys: list[str], low_battery: float = LOW_BATTERY_PCT) -> DataFrame:
+def device_sums(df: DataFrame, keys: list[str], low_battery: float = LOW_BATTERY_PCT) -> DataFrame:
     """Mergeable measures per key; all buffers are numbers, so this is a hash
     aggregate with map-side combine. Columns nobody reads are pruned."""
     return df.groupBy(*keys).agg(
@@ -68,7 +68,7 @@ def device_status_summary(df: DataFrame) -> DataFrame:
     """
     keys = [*PARTITION_COLUMNS, "fleet_id", "device_id"]
     return (
-        _sums(df, [*keys, "status"])
+        device_sums(df, [*keys, "status"])
         .groupBy(*keys)
         .agg(
             F.max("last_seen").alias("last_seen"),
@@ -88,7 +88,7 @@ def device_status_summary(df: DataFrame) -> DataFrame:
 
 def device_measures(df: DataFrame, keys: list[str]) -> DataFrame:
     """The part of the device summary that KPIs read, in one shuffle."""
-    sums = _sums(df, [*keys, "fleet_id", "device_id"])
+    sums = device_sums(df, [*keys, "fleet_id", "device_id"])
     battery = mean(F.col("battery_sum"), F.col("battery_count"))
     temperature = mean(F.col("temperature_sum"), F.col("temperature_count"))
     return sums.select(
@@ -111,7 +111,7 @@ def zone_activity(df: DataFrame, *, low_battery: float = LOW_BATTERY_PCT) -> Dat
     """
     keys = [*PARTITION_COLUMNS, "location_zone"]
     return (
-        _sums(df, [*keys, "device_id", "fleet_id"], low_battery)
+        device_sums(df, [*keys, "device_id", "fleet_id"], low_battery)
         .groupBy(*keys)
         .agg(
             F.sum("events").alias("total_events"),

@@ -24,6 +24,11 @@ _CHECKS = [
 ]
 UNREADABLE = "Failed to parse telemetry data"
 
+def _is_one_value(text: Column) -> Column:
+    """Whether a text is one JSON value and nothing else; the parser alone stops behind the first."""
+    return F.coalesce(F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1, F.lit(False))
+
+
 # Quoted numbers and NaN are no JSON numbers.
 _JSON = {"mode": "PERMISSIVE", "allowNonNumericNumbers": "false"}
 
@@ -39,13 +44,14 @@ def unwrap_event(raw: DataFrame, column: str = "value") -> DataFrame:
     record = F.try_element_at(outer["Records"], F.lit(1))["Sns"]
     message = F.when(record.isNotNull(), F.coalesce(record["Message"], F.lit("")))
     bare = F.struct(*[outer[name].alias(name) for name in names])
+    inside = F.when(_is_one_value(inner), F.from_json(inner, EVENT_DDL, _JSON))
     parsed = F.struct(
         F.coalesce(inner, F.col(column)).alias("payload"),
-        F.when(inner.isNotNull(), F.from_json(inner, EVENT_DDL, _JSON)).otherwise(bare).alias("event"),
+        F.when(inner.isNotNull(), inside).otherwise(bare).alias("event"),
     )
     kept = [name for name in raw.columns if name not in ("payload", "event")]
     return (
-        raw.withColumn("_outer", F.from_json(column, ENVELOPE_DDL, _JSON))
+        raw.withColumn("_outer", F.when(_is_one_value(F.col(column)), F.from_json(column, ENVELOPE_DDL, _JSON)))
         .withColumn("_inner", F.coalesce(outer["body"], message))
         # Generated columns are computed once; as plain expressions a filter on
         # them would be pushed below and parse the text again for every rule.
@@ -58,9 +64,10 @@ def _reject_reason() -> Column:
         value = F.col("event")[field]
         return value.isNull() | (value == "") if kind == "text" else value.isNull() | F.isnan(value)
 
-    # Parsing as a whole is only tried for rows without the first field.
+    # Whether the text parses is only asked again of rows without the first field: what does not has no fields.
     first = _CHECKS[0]
-    reason = F.when(absent(*first) & F.try_parse_json("payload").isNull(), F.lit(UNREADABLE))
+    unreadable = F.try_parse_json("payload").isNull() | ~_is_one_value(F.col("payload"))
+    reason = F.when(absent(*first) & unreadable, F.lit(UNREADABLE))
     for field, kind in _CHECKS:
         label = "Missing required field" if kind == "text" else "Missing or invalid field"
         reason = reason.when(absent(field, kind), F.lit(f"{label}: {field}"))
@@ -116,11 +123,7 @@ def reject_summary(validated: DataFrame) -> DataFrame:
 
 def ingest_audit(accepted: DataFrame) -> DataFrame:
     """Where each event is stored and when it was taken in."""
-    folder = F.concat(
-        *[F.concat(F.lit(f"{name}="), F.col(name), F.lit("/")) for name in PARTITION_COLUMNS],
-        F.lit("hour="),
-        F.lpad(F.hour("event_time").cast("string"), 2, "0"),
-    )
+    folder = F.concat_ws("/", *[F.concat(F.lit(f"{name}="), F.col(name)) for name in PARTITION_COLUMNS])
     return accepted.select(
         F.lit("Telemetry ingested successfully").alias("message"),
         "device_id",
@@ -133,7 +136,7 @@ def ingest_audit(accepted: DataFrame) -> DataFrame:
 def format_csv_row(df: DataFrame) -> DataFrame:
     """The nine fields in table order as a CSV line, NULL as nothing."""
     fields = [
-        F.date_format(name, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias(name) if name == "event_time" else F.col(name)
+        F.date_format(name, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias(name) if name == "event_time" else F.col(name)
         for name in TELEMETRY_COLUMNS
     ]
     line = F.to_csv(F.struct(*fields), {"nullValue": "", "emptyValue": ""})

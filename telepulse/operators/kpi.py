@@ -6,13 +6,13 @@ pair counting once; that is how they are defined.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from telepulse.functions.calendar import AsOf, moment_literal, utc_moment
 from telepulse.functions.numeric import mean, percentage, round_half_up
 from telepulse.operators.filters import on_day
-from telepulse.operators.health import device_measures
+from telepulse.operators.health import device_measures, device_sums
 from telepulse.schema import FLEET_NAMESPACE, LOW_BATTERY_PCT
 
 ALL_FLEETS = "ALL"
@@ -28,18 +28,19 @@ _PUBLISHED = [
 ]
 
 
-def _kpis(measures: DataFrame, keys: list[str]) -> DataFrame:
+def _kpis(measures: DataFrame, keys: list[str], low_battery: float = LOW_BATTERY_PCT) -> DataFrame:
     """KPIs per key from device measures.
 
-    Folding to one row per device turns each distinct count into a plain one.
+    Folding to one row per device turns each distinct count into a plain one. Rounded averages add up as decimals,
+    so their mean does not depend on the order of rows.
     """
     per_device = measures.groupBy(*keys, "device_id").agg(
         F.sum("error_count").alias("errors"),
         F.sum("session_count").alias("sessions"),
         F.min("min_battery_pct").alias("battery_min"),
-        F.sum("avg_battery_pct").alias("battery_sum"),
+        F.sum(F.col("avg_battery_pct").cast("decimal(20,1)")).alias("battery_sum"),
         F.count("avg_battery_pct").alias("battery_count"),
-        F.sum("avg_temp_celsius").alias("temperature_sum"),
+        F.sum(F.col("avg_temp_celsius").cast("decimal(20,1)")).alias("temperature_sum"),
         F.count("avg_temp_celsius").alias("temperature_count"),
     )
     known = F.col("device_id").isNotNull()
@@ -47,31 +48,112 @@ def _kpis(measures: DataFrame, keys: list[str]) -> DataFrame:
         F.count_if(known).alias("active_device_count"),
         F.sum("errors").alias("total_error_events"),
         F.count_if(known & (F.col("errors") > 0)).alias("error_device_count"),
-        F.count_if(known & (F.col("battery_min") < LOW_BATTERY_PCT)).alias("critical_battery_count"),
-        round_half_up(mean(F.sum("battery_sum"), F.sum("battery_count")), 1).alias("fleet_avg_battery"),
-        round_half_up(mean(F.sum("temperature_sum"), F.sum("temperature_count")), 1).alias(
+        F.count_if(known & (F.col("battery_min") < low_battery)).alias("critical_battery_count"),
+        round_half_up(mean(F.sum("battery_sum").cast("double"), F.sum("battery_count")), 1).alias("fleet_avg_battery"),
+        round_half_up(mean(F.sum("temperature_sum").cast("double"), F.sum("temperature_count")), 1).alias(
             "fleet_avg_temp"
         ),
         percentage(F.sum("errors"), F.sum("sessions")).alias("fleet_error_rate_pct"),
     )
 
 
-def fleet_kpis(df: DataFrame, *, as_of: AsOf = None) -> DataFrame:
+def fleet_kpis(df: DataFrame, *, as_of: AsOf = None, low_battery: float = LOW_BATTERY_PCT) -> DataFrame:
     """One row of KPIs for the UTC day of ``as_of``; NULLs and zeros without data."""
-    return _kpis(device_measures(on_day(df, as_of=as_of), []), [])
+    return _kpis(device_measures(on_day(df, as_of=as_of), []), [], low_battery)
 
 
-def fleet_kpis_by_fleet(df: DataFrame, *, as_of: AsOf = None) -> DataFrame:
+def fleet_kpis_by_fleet(
+    df: DataFrame, *, as_of: AsOf = None, low_battery: float = LOW_BATTERY_PCT
+) -> DataFrame:
     """The same per fleet, and over all fleets as ``ALL``."""
     measures = device_measures(on_day(df, as_of=as_of), [])
     both = F.explode(F.array(F.col("fleet_id"), F.lit(ALL_FLEETS)))
-    return _kpis(measures.withColumn("fleet", both), ["fleet"])
+    return _kpis(measures.withColumn("fleet", both), ["fleet"], low_battery)
 
 
-def kpi_history(df: DataFrame, *, period: str = "1 day") -> DataFrame:
-    """KPIs of every period at once, to fill the metric series of the past."""
-    periods = df.withColumn("period_start", F.window("event_time", period)["start"])
-    return _kpis(device_measures(periods, ["period_start"]), ["period_start"])
+def kpi_history(df: DataFrame, *, period: str = "1 day", low_battery: float = LOW_BATTERY_PCT) -> DataFrame:
+    """KPIs of the day so far at the end of each period (which must divide a day), as the scheduled job publishes them.
+
+    Every period from the first day seen to the last is there; before a day's first row, counts are 0.
+
+    A device changes the KPIs only in periods in which it reports. So each (fleet, device) keeps running sums over
+    its own periods, the change to its published averages is what a period adds, and a day's few periods are summed
+    up last. Sums of rounded averages are decimals, which add up exactly. A device is counted from the first period
+    in which it reports, fails or falls below the limit.
+    """
+    day = F.col("event_time").cast("date")
+    start = F.window("event_time", period)["start"].cast("timestamp_ntz")
+    rows = df.where("event_time IS NOT NULL").withColumns({"kpi_day": day, "kpi_period": start})
+    sums = device_sums(rows, ["kpi_day", "kpi_period", "fleet_id", "device_id"])
+    so_far = Window.partitionBy("kpi_day", "fleet_id", "device_id").orderBy("kpi_period")
+    total = lambda c: F.sum(c).over(so_far)
+
+    def published(name: str) -> Column:
+        average = round_half_up(mean(total(f"{name}_sum"), total(f"{name}_count")), 1)
+        return average.cast("decimal(20,1)")
+
+    states = sums.select(
+        "kpi_day", "kpi_period", "fleet_id", "device_id", "events", "errors", "battery_min",
+        published("battery").alias("battery"),
+        published("temperature").alias("temperature"),
+    )
+    zero = F.lit(0).cast("decimal(20,1)")
+
+    def change(name: str) -> tuple[Column, Column]:
+        before = F.lag(name).over(so_far)
+        new = F.col(name).isNotNull().cast("int") - before.isNotNull().cast("int")
+        return F.coalesce(F.col(name), zero) - F.coalesce(before, zero), new
+
+    battery, temperature = change("battery"), change("temperature")
+    moved = states.withColumns(
+        {"battery_d": battery[0], "battery_n": battery[1], "temperature_d": temperature[0], "temperature_n": temperature[1]}
+    )
+    added = moved.groupBy("kpi_day", "kpi_period").agg(
+        *[F.sum(c).alias(c) for c in ("events", "errors", "battery_d", "battery_n", "temperature_d", "temperature_n")]
+    )
+    firsts = (
+        sums.where("device_id IS NOT NULL")
+        .groupBy("kpi_day", "device_id")
+        .agg(
+            F.min("kpi_period").alias("seen"),
+            F.min(F.when(F.col("errors") > 0, F.col("kpi_period"))).alias("failed"),
+            F.min(F.when(F.col("battery_min") < low_battery, F.col("kpi_period"))).alias("low"),
+        )
+    )
+    kinds = ("seen", "failed", "low")
+    entered = (
+        firsts.select("kpi_day", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("kpi_period")) for k in kinds])).alias("at"))
+        .select("kpi_day", "at.kind", "at.kpi_period")
+        .where("kpi_period IS NOT NULL")
+        .groupBy("kpi_day", "kpi_period")
+        .agg(*[F.count_if(F.col("kind") == k).alias(k) for k in kinds])
+    )
+    grid = rows.agg(F.min("kpi_day").alias("first"), F.max("kpi_day").alias("until")).where("first IS NOT NULL").select(
+        F.explode(F.expr("sequence(first, until, interval 1 day)")).alias("kpi_day")
+    )
+    grid = grid.select(
+        "kpi_day",
+        F.explode(
+            F.expr(
+                f"sequence(cast(kpi_day AS timestamp_ntz), cast(kpi_day AS timestamp_ntz) + interval 1 day - interval {period}, "
+                f"interval {period})"
+            )
+        ).alias("kpi_period"),
+    )
+    keys = ["kpi_day", "kpi_period"]
+    of_day = Window.partitionBy("kpi_day").orderBy("kpi_period")
+    running = lambda c: F.coalesce(F.sum(c).over(of_day), F.lit(0))
+    whole = grid.join(added, keys, "left").join(entered, keys, "left")
+    return whole.select(
+        F.col("kpi_period").alias("period_start"),
+        running("seen").alias("active_device_count"),
+        F.sum("errors").over(of_day).alias("total_error_events"),
+        running("failed").alias("error_device_count"),
+        running("low").alias("critical_battery_count"),
+        round_half_up(mean(running("battery_d").cast("double"), running("battery_n")), 1).alias("fleet_avg_battery"),
+        round_half_up(mean(running("temperature_d").cast("double"), running("temperature_n")), 1).alias("fleet_avg_temp"),
+        percentage(running("errors"), running("events")).alias("fleet_error_rate_pct"),
+    )
 
 
 def kpi_metrics(kpis: DataFrame, *, as_of: AsOf = None, ts: Column | None = None) -> DataFrame:

@@ -96,7 +96,7 @@ def render_chat(alarms: DataFrame) -> DataFrame:
 
     mark, state = _by_state(_MARKS, _OTHER_MARK), _field("NewStateValue")
     blocks = F.array(
-        block("header", text("plain_text", mark, " CloudWatch Alarm: ", _field("AlarmName"))),
+        block("header", text("plain_text", mark, " Telemetry Alarm: ", _field("AlarmName"))),
         block(
             "section",
             fields=F.array(
@@ -131,7 +131,7 @@ def email_subject() -> Column:
 def render_email_text(alarms: DataFrame) -> DataFrame:
     """Add ``subject`` and ``body_text``."""
     lines = [
-        F.lit("CLOUDWATCH ALARM NOTIFICATION\n"),
+        F.lit("TELEMETRY ALARM NOTIFICATION\n"),
         F.concat(F.lit("Alarm Name: "), _field("AlarmName")),
         F.concat(F.lit("State: "), _field("NewStateValue")),
         F.concat(F.lit("Time: "), _time(), F.lit("\n")),

@@ -5,10 +5,10 @@ The three checks share one scan of two days and one shuffle by device.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from telepulse.functions.calendar import AsOf, in_day_partition, moment_literal, utc_moment
+from telepulse.functions.calendar import AsOf, in_day_partition, midnight, moment_literal, utc_moment
 from telepulse.functions.numeric import round_half_to_plus_infinity
 from telepulse.operators.filters import on_day, on_two_days
 from telepulse.schema import (
@@ -99,23 +99,32 @@ def quality_checks(df: DataFrame, *, as_of: AsOf = None) -> DataFrame:
     )
 
 
-def freshness_history(df: DataFrame, *, period_seconds: int = 1800) -> DataFrame:
-    """What the freshness check finds at the end of each period of each day.
+def freshness_history(df: DataFrame, *, period_seconds: int = 1800, end: AsOf = None) -> DataFrame:
+    """What the freshness check finds at the end of each period of each day, from the first day seen to the last, or
+    to the day of ``end``. A day without telemetry has all its periods, with 9999 minutes.
 
-    Rows are folded to one per period before a day's few periods are gathered.
+    Rows are folded to one per period; a period looks back by a window over those of its day.
     """
+    if not 60 <= period_seconds <= 86400 or 86400 % period_seconds:
+        raise ValueError("period_seconds must be 60 at least and divide a day")
     length = F.lit(period_seconds)
     seconds = F.unix_seconds(F.col("event_time").cast("timestamp"))
-    latest = df.groupBy((seconds - F.pmod(seconds, length)).alias("period")).agg(
+    latest = df.where("event_time IS NOT NULL").groupBy((seconds - F.pmod(seconds, length)).alias("period")).agg(
         F.max(seconds).alias("last")
     )
-    midnight_second = F.col("period") - F.pmod("period", F.lit(86400))
-    days = latest.groupBy(midnight_second.alias("midnight")).agg(F.collect_list("last").alias("lasts"))
-    ends = F.sequence(F.col("midnight") + length, F.col("midnight") + F.lit(86400), length)
-    seen = F.array_max(F.filter("lasts", lambda last: last <= F.col("end")))
-    return days.select("lasts", F.explode(ends).alias("end")).select(
-        F.timestamp_seconds(F.col("end") - length).cast("timestamp_ntz").alias("period_start"),
-        F.coalesce(F.floor((F.col("end") - seen) / 60), F.lit(NO_DATA_MINUTES))
+    start_of_day = F.col("period") - F.pmod("period", F.lit(86400))
+    last_day = F.max(start_of_day)
+    if end is not None:
+        last_day = F.greatest(last_day, F.unix_seconds(moment_literal(midnight(utc_moment(end))).cast("timestamp")))
+    span = latest.agg(F.min(start_of_day).alias("first"), last_day.alias("until"))
+    grid = span.where("first IS NOT NULL").select(
+        F.explode(F.sequence("first", F.col("until") + F.lit(86400) - length, length)).alias("period")
+    )
+    so_far = Window.partitionBy(start_of_day).orderBy("period")
+    seen = F.max("last").over(so_far)
+    return grid.join(latest, "period", "left").select(
+        F.timestamp_seconds("period").cast("timestamp_ntz").alias("period_start"),
+        F.coalesce(F.floor((F.col("period") + length - seen) / 60), F.lit(NO_DATA_MINUTES))
         .cast("int")
         .alias("freshness_minutes"),
     )
@@ -125,6 +134,7 @@ def quality_metrics(checks: DataFrame, *, as_of: AsOf = None) -> DataFrame:
     """Four metric rows of the checks."""
     # --- fixed values: metric names and units ---
     points = [
+        # Published and drawn as 9999 at most, the value of "never".
         ("DataFreshnessMinutes", F.least("freshness_minutes", F.lit(NO_DATA_MINUTES)), "None"),
         ("TodayPartitionExists", F.col("partition_exists").cast("int"), "Count"),
         ("ActiveDeviceCount", F.col("today_count"), "Count"),
@@ -156,17 +166,17 @@ def _alerts(
     def number(name: str) -> Column:
         return F.col(name).cast("string")
 
-    # --- fixed values: alert texts ---
+    # Headings and labels are fixed values; the advice is this project's own.
     stale = F.concat(
         F.lit("🚨 DATA FRESHNESS ALERT\nLast telemetry received: "),
         F.col("last_seen"),
         F.lit("\nStaleness: "),
         number("freshness_minutes"),
-        F.lit(" minutes\nAction: Check the ingest logs and the connectivity of the devices."),
+        F.lit(" minutes\nNext step: see whether devices still send and whether their messages are rejected."),
     )
     missing = F.lit(
         "⚠️ MISSING PARTITION ALERT\nNo data found for today's partition (year/month/day).\n"
-        "Action: Repair the partitions of the telemetry table."
+        "Next step: list the table's folders and register the ones that are missing."
     )
     dropped = F.concat(
         F.lit("⚠️ DEVICE COUNT REGRESSION\nYesterday: "),
@@ -175,7 +185,7 @@ def _alerts(
         number("today_count"),
         F.lit(" devices\nDrop:      "),
         F.abs("delta_percent").cast("string"),
-        F.lit("%\nAction: Check the connectivity of the fleet and its gateways."),
+        F.lit("%\nNext step: compare the silent devices by fleet and zone."),
     )
     fell = (F.col("yesterday_count") > 0) & (F.col("delta_percent") < -max_drop)
     return [

@@ -15,7 +15,6 @@ from telepulse.functions.calendar import AsOf
 from telepulse.functions.numeric import round_half_up
 from telepulse.operators import filters
 from telepulse.operators.filters import has_status, in_month, on_whole_day
-from telepulse.schema import DEFAULT_MAX_ROWS
 
 
 def _report_decimal(value: Column, precision: int) -> Column:
@@ -140,15 +139,17 @@ def named_query(df: DataFrame, name: str, **parameters) -> DataFrame:
 
 
 def run_sql(
-    spark: SparkSession, query: str | None, *, max_rows: int = DEFAULT_MAX_ROWS, as_text: bool = True
+    spark: SparkSession, query: str | None, *, max_rows: int | None = None, as_text: bool = True
 ) -> DataFrame:
-    """Ad-hoc SQL, at most ``max_rows`` rows, values as text as a client sees them.
+    """Ad-hoc SQL, values as text as a client sees them; ``max_rows`` limits the rows where it is given.
 
     A statement that Spark cannot analyse raises with Spark's own message.
     """
     if not query or not query.strip():
         raise ValueError("Missing required field: query")
-    result = spark.sql(query.strip()).limit(max_rows)
+    result = spark.sql(query.strip())
+    if max_rows is not None:
+        result = result.limit(max_rows)
     if as_text:
         result = result.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in result.columns])
     return result

@@ -411,7 +411,7 @@ def dashboard_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = alarms.metric_period_stat(
         _kpi_points(spark, sf_dir), period="6 hours", statistics=("Maximum", "Average")
     )
-    return _rounded(stats, 2, "maximum", "average")
+    return _rounded(stats, 5, "maximum", "average")
 
 
 _alarm("alarm_high_error_rate", "high-error-rate")

@@ -22,7 +22,8 @@ EPOCH = "TIMESTAMP '1970-01-01'"
 
 
 def rounded(value: str, digits: int) -> str:
-    return f"CAST(round(CAST({value} AS DECIMAL(18,6)), {digits}) AS DOUBLE)"
+    """Decimal rounding of the shortest text of a double."""
+    return f"CAST(round(CAST(CAST(CAST({value} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,16)), {digits}) AS DOUBLE)"
 
 
 def percent(part: str, whole: str) -> str:
@@ -122,13 +123,18 @@ def window_rows(interval: str, where: str = "TRUE", source: str = "telemetry") -
     )
 
 
+def exact_mean(column: str) -> str:
+    """Mean of values with one decimal, from their exact sum."""
+    return f"sum(CAST({column} AS DECIMAL(20,1)))::DOUBLE / nullif(count({column}), 0)"
+
+
 # --- KPIs -------------------------------------------------------------------------
 KPI_COLUMNS = f"""count(DISTINCT device_id) AS active_device_count,
   CAST(sum(error_count) AS BIGINT) AS total_error_events,
   count(DISTINCT device_id) FILTER (error_count > 0) AS error_device_count,
   count(DISTINCT device_id) FILTER (min_battery_pct < 20) AS critical_battery_count,
-  {rounded("avg(avg_battery_pct)", 1)} AS fleet_avg_battery,
-  {rounded("avg(avg_temp_celsius)", 1)} AS fleet_avg_temp,
+  {rounded(exact_mean("avg_battery_pct"), 1)} AS fleet_avg_battery,
+  {rounded(exact_mean("avg_temp_celsius"), 1)} AS fleet_avg_temp,
   {percent("sum(error_count)", "sum(session_count)")} AS fleet_error_rate_pct"""
 
 
@@ -137,11 +143,17 @@ def device_day(where: str) -> str:
 
 
 def kpi_history(interval: str) -> str:
-    start = f"time_bucket(INTERVAL '{interval}', event_time, {EPOCH})"
+    """All rows from midnight to the end of each period, period by period."""
     return (
-        f"periods AS (SELECT {start} AS period_start, fleet_id, device_id, {DEVICE_COLUMNS} "
-        f"FROM telemetry GROUP BY ALL), "
-        f"kpis AS (SELECT period_start, {KPI_COLUMNS} FROM periods GROUP BY period_start)"
+        f"days AS (SELECT unnest(generate_series(min(event_time)::DATE::TIMESTAMP, max(event_time)::DATE::TIMESTAMP, "
+        f"INTERVAL 1 DAY)) AS day_start FROM telemetry), "
+        f"starts AS (SELECT day_start, unnest(generate_series(day_start, day_start + INTERVAL 1 DAY - INTERVAL '{interval}', "
+        f"INTERVAL '{interval}')) AS period_start FROM days), "
+        f"periods AS (SELECT period_start, fleet_id, device_id, {DEVICE_COLUMNS} FROM starts LEFT JOIN telemetry "
+        f"ON event_time >= day_start AND event_time < period_start + INTERVAL '{interval}' "
+        f"AND CAST(event_time AS DATE) = CAST(day_start AS DATE) WHERE event_time IS NOT NULL GROUP BY ALL), "
+        f"kpis AS (SELECT s.period_start, {KPI_COLUMNS} FROM starts s LEFT JOIN periods p USING (period_start) "
+        f"GROUP BY s.period_start)"
     )
 
 
@@ -196,16 +208,16 @@ def checks(as_of: str) -> str:
 
 STALE_TEXT = (
     "'🚨 DATA FRESHNESS ALERT\nLast telemetry received: ' || last_seen || '\nStaleness: ' || freshness_minutes"
-    " || ' minutes\nAction: Check the ingest logs and the connectivity of the devices.'"
+    " || ' minutes\nNext step: see whether devices still send and whether their messages are rejected.'"
 )
 MISSING_TEXT = (
     "'⚠️ MISSING PARTITION ALERT\nNo data found for today''s partition (year/month/day).\n"
-    "Action: Repair the partitions of the telemetry table.'"
+    "Next step: list the table''s folders and register the ones that are missing.'"
 )
 DROP_TEXT = (
     "'⚠️ DEVICE COUNT REGRESSION\nYesterday: ' || yesterday_count || ' devices\nToday:     ' || today_count"
     " || ' devices\nDrop:      ' || abs(delta_percent) || "
-    "'%\nAction: Check the connectivity of the fleet and its gateways.'"
+    "'%\nNext step: compare the silent devices by fleet and zone.'"
 )
 ALERTS = f"""alerts AS (
   SELECT 1 AS n, 'freshness' AS "check", {STALE_TEXT} AS text FROM checks WHERE freshness_minutes > 30
@@ -228,7 +240,7 @@ FRESHNESS_HISTORY = """hourly AS (
   FROM telemetry GROUP BY ALL
 ), hours AS (
   SELECT day_start, unnest(generate_series(day_start, day_start + INTERVAL 23 HOUR, INTERVAL 1 HOUR)) AS period_start
-  FROM (SELECT DISTINCT day_start FROM hourly)
+  FROM (SELECT unnest(generate_series(min(day_start), max(day_start), INTERVAL 1 DAY)) AS day_start FROM hourly)
 ), freshness AS (
   SELECT period_start,
     coalesce(floor(date_sub('second', max(last), period_start + INTERVAL 1 HOUR) / 60), 9999)::INTEGER
@@ -353,7 +365,7 @@ def alarm_states(kinds: Sequence[str], *names: str) -> str:
 
 
 CLOCK = "'%-m/%-d/%Y, %-I:%M:%S %p'"
-MAIL_HEAD = "'CLOUDWATCH ALARM NOTIFICATION\n\nAlarm Name: '"
+MAIL_HEAD = "'TELEMETRY ALARM NOTIFICATION\n\nAlarm Name: '"
 
 
 def mail_text(name: str, state: str, time: str, reason: str, details: Sequence[str], dimensions: str) -> str:
@@ -410,7 +422,7 @@ def _chat() -> str:
     status = text("mrkdwn", "'*Status*\n' || state")
     time = text("mrkdwn", "'*Time*\n' || shown_time")
     reason = text("mrkdwn", "'*Reason*\n' || reason")
-    header = text("plain_text", f"{MARK} || ' CloudWatch Alarm: ' || alarm_name")
+    header = text("plain_text", f"{MARK} || ' Telemetry Alarm: ' || alarm_name")
     blocks = (
         f"json_array(json_object('type', 'header', 'text', {header}), "
         f"json_object('type', 'section', 'fields', json_array({status}, {time})), "
@@ -441,9 +453,9 @@ def _html() -> str:
     )
 
 
-def _period_stats(points: str, interval: str, names: Sequence[str]) -> str:
+def _period_stats(points: str, interval: str, names: Sequence[str], digits: int = 2) -> str:
     functions = {"sum": "sum", "average": "avg", "maximum": "max", "minimum": "min"}
-    columns = ", ".join(f"{rounded(f'{functions[n]}(value)', 2)} AS {n}" for n in names)
+    columns = ", ".join(f"{rounded(f'{functions[n]}(value)', digits)} AS {n}" for n in names)
     return (
         "SELECT namespace, metric, dimension_key AS dimensions, "
         f"time_bucket(INTERVAL '{interval}', ts, {EPOCH}) AS period_start, {columns}, count(value) AS samples "
@@ -491,7 +503,7 @@ def _csv_number(name: str) -> str:
 
 
 CSV_LINE = " || ',' || ".join(
-    f"strftime({c}, '%Y-%m-%dT%H:%M:%S.%gZ')" if c == "event_time" else _csv_number(c)
+    f"strftime({c}, '%Y-%m-%dT%H:%M:%S.%fZ')" if c == "event_time" else _csv_number(c)
     for c in FIELDS.split(", ")
 )
 AGGREGATE_LINE = (
@@ -507,8 +519,7 @@ AGGREGATE_LINE = (
 ORACLES: dict[str, str] = {
     # sources, sinks, catalog
     "read_telemetry_csv": over_telemetry(
-        f"SELECT {FIELDS.replace('event_time', 'date_trunc(' + chr(39) + 'milliseconds' + chr(39) + ', event_time) AS event_time')}"
-        ", year, month, day FROM telemetry"
+        f"SELECT {ALL} FROM telemetry"
     ),
     "read_hour": over_telemetry(f"SELECT {ALL} FROM telemetry WHERE {hour_before(HOUR_AS_OF)}"),
     "parse_csv_record": f"""SELECT 'ROBOT-' || user_id AS device_id,
@@ -581,7 +592,7 @@ FROM validated""",
     "strftime(ts, '%d') AS day, strftime(ts, '%H') AS hour FROM events",
     "ingest_audit": over_telemetry(
         "SELECT 'Telemetry ingested successfully' AS message, device_id, event_time, "
-        "strftime(event_time, 'year=%Y/month=%m/day=%d/hour=%H') AS storage_path FROM accepted",
+        "strftime(event_time, 'year=%Y/month=%m/day=%d') AS storage_path FROM accepted",
         VALIDATED,
         ACCEPTED,
     ),
@@ -698,7 +709,7 @@ FROM telemetry WHERE {IN_MONTH} GROUP BY ALL ORDER BY avg_battery DESC, device_i
     ),
     "run_sql": over_telemetry(
         "SELECT device_id, status, events::VARCHAR AS events, min_battery::VARCHAR AS min_battery, error_code FROM "
-        f"({AD_HOC_SQL}) LIMIT 1000",
+        f"({AD_HOC_SQL})",
         "device_telemetry AS (SELECT * FROM telemetry)",
     ),
     "scalar_expressions": f"""SELECT event_id, {rounded("value / 3", 2)} AS rounded,
@@ -721,7 +732,7 @@ FROM events""",
         SERVICE_POINTS, "30 minutes", ("sum", "average", "maximum", "minimum")
     ),
     "dashboard_series": over_telemetry(
-        _period_stats(KPI_POINTS, "6 hours", ("maximum", "average")), kpi_history("1 hour")
+        _period_stats(KPI_POINTS, "6 hours", ("maximum", "average"), 5), kpi_history("1 hour")
     ),
     "alarm_high_error_rate": alarm_states(["ingest"], "high-error-rate"),
     "alarm_throttling": alarm_states(["service"], "throttling"),

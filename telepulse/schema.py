@@ -74,7 +74,6 @@ NO_DATA_TEXT = "NEVER"
 MAX_DEVICE_DROP_PCT = 30
 TELEMETRY_RETENTION_DAYS = 365
 RESULT_RETENTION_DAYS = 30
-DEFAULT_MAX_ROWS = 1000
 
 # Names under which metrics are published.
 FLEET_NAMESPACE = "Telemetry/Fleet"

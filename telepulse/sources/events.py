@@ -33,9 +33,8 @@ def _case(column: Column, mapping: dict[str, str]) -> Column:
 
 
 def _battery_level() -> Column:
-    """Field k of the JSON properties; a document of only k needs no parser."""
-    alone = F.regexp_extract("props", r'^\{"k": (\d{1,9})\}$', 1).try_cast("int")
-    return F.coalesce(alone, F.get_json_object("props", "$.k").try_cast("int"))
+    """Field k of the JSON properties."""
+    return F.get_json_object("props", "$.k").try_cast("int")
 
 
 def telemetry_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:

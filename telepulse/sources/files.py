@@ -15,7 +15,7 @@ from telepulse.schema import (
     TELEMETRY_DDL,
 )
 
-# Unreadable or vanished files are skipped, the job goes on.
+# Raw files that cannot be read are skipped; ``skipped_lines`` says what in the others is no record.
 _TOLERANT = {"ignoreCorruptFiles": "true", "ignoreMissingFiles": "true"}
 _CSV_OPTIONS = {"mode": "PERMISSIVE", "nullValue": "", "sep": ","}
 
@@ -85,11 +85,11 @@ def read_six_field_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_telemetry(spark: SparkSession, path: str) -> DataFrame:
-    """The Parquet telemetry table at ``path``; empty where none was written yet."""
+    """The Parquet telemetry table at ``path``; empty where none was written yet. A broken file fails the job."""
     schema = f"{TELEMETRY_DDL}, {PARTITION_DDL}"
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.options(**_TOLERANT).schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

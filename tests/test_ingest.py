@@ -6,14 +6,15 @@ from conftest import only
 from telepulse.operators import ingest
 
 EVENT = {
-    "device_id": "ROBOT-001",
-    "fleet_id": "WAREHOUSE-A",
-    "battery_level": 85,
-    "speed_mps": 1.5,
-    "status": "MOVING",
-    "location_zone": "ZONE-A-01",
-    "temperature_celsius": 32.5,
-    "event_time": "2026-03-27T14:30:00Z",
+    "device_id": "crane-17",
+    "fleet_id": "harbour",
+    "battery_level": 61,
+    "speed_mps": 0.25,
+    "status": "LIFTING",
+    "error_code": None,
+    "location_zone": "quay-3",
+    "temperature_celsius": 11.75,
+    "event_time": "2025-11-05T08:07:06Z",
 }
 
 
@@ -41,8 +42,8 @@ def without(name):
 )
 def test_envelopes(spark, wrap):
     row = only(ingest.accepted_events(taken(spark, wrap(EVENT))))
-    assert row["device_id"] == "ROBOT-001" and row["battery_level"] == 85
-    assert (row["year"], row["month"], row["day"]) == ("2026", "03", "27")
+    assert row["device_id"] == "crane-17" and row["battery_level"] == 61
+    assert (row["year"], row["month"], row["day"]) == ("2025", "11", "05")
     assert row["error_code"] is None
 
 
@@ -114,12 +115,12 @@ def test_nothing_is_lost(spark):
     assert (accepted.count(), rejected.count()) == (2, 3)
     assert ingest.reject_summary(validated).count() == 3
     devices = {r.device_id for r in rejected.collect()}
-    assert devices == {"unknown", "ROBOT-001"}
+    assert devices == {"unknown", "crane-17"}
 
 
 def test_audit_names_the_folder(spark):
     row = only(ingest.ingest_audit(ingest.accepted_events(taken(spark, EVENT))))
-    assert row["storage_path"] == "year=2026/month=03/day=27/hour=14"
+    assert row["storage_path"] == "year=2025/month=11/day=05"
     assert row["ingested_at"] is not None
 
 
@@ -127,6 +128,17 @@ def test_csv_line(spark):
     accepted = ingest.accepted_events(taken(spark, EVENT, {**EVENT, "status": "ERROR", "error_code": "E1"}))
     lines = sorted(r.line for r in ingest.format_csv_row(accepted).collect())
     assert lines == [
-        "ROBOT-001,WAREHOUSE-A,2026-03-27T14:30:00.000Z,85,1.5,ERROR,E1,ZONE-A-01,32.5",
-        "ROBOT-001,WAREHOUSE-A,2026-03-27T14:30:00.000Z,85,1.5,MOVING,,ZONE-A-01,32.5",
+        "crane-17,harbour,2025-11-05T08:07:06.000000Z,61,0.25,ERROR,E1,quay-3,11.75",
+        "crane-17,harbour,2025-11-05T08:07:06.000000Z,61,0.25,LIFTING,,quay-3,11.75",
     ]
+
+
+@pytest.mark.parametrize("tail", [" garbage", json.dumps(EVENT), "," + json.dumps(EVENT)])
+def test_text_behind_the_object_is_no_json(spark, tail):
+    assert reason(spark, json.dumps(EVENT) + tail) == ingest.UNREADABLE
+    assert reason(spark, {"body": json.dumps(EVENT) + tail}) == ingest.UNREADABLE
+
+
+@pytest.mark.parametrize("time", ["12:30", "2026", "2026-03", "T12:30:00Z"])
+def test_times_need_a_full_date(spark, time):
+    assert reason(spark, {**EVENT, "event_time": time}) == "Missing or invalid field: event_time"

@@ -2,6 +2,7 @@ import json
 
 import pytest
 from conftest import only
+from pyspark.sql import functions as F
 
 from telepulse.operators import kpi, quality
 
@@ -120,3 +121,59 @@ def test_freshness_history_equals_the_check(make):
         check = only(quality.data_freshness(df, as_of=f"2026-03-20 {hour + 1:02d}:00:00"))
         # A row at the very end of a period belongs to the next one in both.
         assert history[hour] == check["freshness_minutes"]
+
+
+def test_a_day_without_telemetry_raises_the_freshness_alarm(make):
+    from telepulse.operators import alarms
+    from telepulse.plans.catalog import HOURLY_RULES, QUALITY_NAMESPACE
+
+    df = make({"event_time": "2026-03-20 23:50:00"}, {"event_time": "2026-03-22 12:00:00"})
+    history = quality.freshness_history(df, period_seconds=3600)
+    outage = [r.freshness_minutes for r in history.filter("to_date(period_start) = '2026-03-21'").collect()]
+    assert outage == [9999] * 24
+    points = history.select(
+        F.lit(QUALITY_NAMESPACE).alias("namespace"),
+        F.lit("DataFreshnessMinutes").alias("metric"),
+        F.col("freshness_minutes").cast("double").alias("value"),
+        F.lit("None").alias("unit"),
+        F.create_map(F.lit("Pipeline"), F.lit("Telemetry")).alias("dimensions"),
+        F.col("period_start").alias("ts"),
+    )
+    states = alarms.evaluate_alarms(points, [HOURLY_RULES["data-freshness"]])
+    assert {r.state for r in states.filter("to_date(period_start) = '2026-03-21' AND hour(period_start) > 3").collect()} == {"ALARM"}
+
+
+def test_kpi_history_is_the_day_so_far(make):
+    df = make(
+        {"device_id": "A", "event_time": "2026-03-20 01:10:00", "battery_level": 10},
+        {"device_id": "B", "event_time": "2026-03-20 02:10:00", "status": "ERROR"},
+        {"device_id": "A", "event_time": "2026-03-22 03:00:00"},
+    )
+    rows = {str(r.period_start): r for r in kpi.kpi_history(df, period="1 hour").collect()}
+    assert len(rows) == 72
+    counts = [rows[f"2026-03-20 0{h}:00:00"].active_device_count for h in range(4)]
+    assert counts == [0, 1, 2, 2]
+    for end in ("01", "02", "07"):
+        live = kpi.fleet_kpis(df, as_of=f"2026-03-20 {end}:59:59").first().asDict()
+        then = rows[f"2026-03-20 {end}:00:00"].asDict()
+        assert {k: then[k] for k in live} == live
+    assert {r.active_device_count for k, r in rows.items() if k.startswith("2026-03-21")} == {0}
+
+
+def test_low_battery_limit_is_a_parameter(make):
+    df = make({"battery_level": 25})
+    assert kpi.fleet_kpis(df, as_of="2026-03-20 23:00:00").first().critical_battery_count == 0
+    assert kpi.fleet_kpis(df, as_of="2026-03-20 23:00:00", low_battery=30).first().critical_battery_count == 1
+
+
+def test_rows_of_the_partition_without_a_time_are_counted(make):
+    df = make({}, {"device_id": "R-2"})
+    df = df.withColumn("event_time", F.when(F.col("device_id") == "R-1", F.col("event_time")))
+    assert kpi.fleet_kpis(df, as_of="2026-03-20 23:00:00").first().active_device_count == 2
+
+
+@pytest.mark.parametrize(("value", "digits", "wanted"), [(2.3449996, 2, 2.34), (1.005, 2, 1.01), (-30.5, 0, -31.0), (1234567890123.455, 2, 1234567890123.46)])
+def test_rounding_on_decimal_digits(spark, value, digits, wanted):
+    from telepulse.functions.numeric import round_half_up
+
+    assert spark.range(1).select(round_half_up(F.lit(value), digits)).first()[0] == wanted

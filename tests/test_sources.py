@@ -9,7 +9,7 @@ from telepulse.schema import TELEMETRY_COLUMNS
 from telepulse.sources import files, tables
 
 HEADER = ",".join(TELEMETRY_COLUMNS)
-LINE = "ROBOT-0009,FLEET-1,2026-03-20 07:37:00,8,0.49,ACTIVE,,ZONE-A,36.3"
+LINE = "crane-17,harbour,2026-03-20 05:04:03,61,0.25,LIFTING,,quay-3,11.75"
 
 
 def write(root, day, name, *lines, hour=None, month="03"):
@@ -23,12 +23,12 @@ def write(root, day, name, *lines, hour=None, month="03"):
 def test_csv_with_and_without_header(spark, tmp_path):
     root = str(tmp_path)
     write(root, "20", "a.csv", HEADER, LINE, LINE)
-    write(root, "21", "b.csv", LINE.replace("2026-03-20 07:37:00", "2026-03-21T07:37:00Z"))
+    write(root, "21", "b.csv", LINE.replace("2026-03-20 05:04:03", "2026-03-21T07:37:00Z"))
     df = files.read_telemetry_csv(spark, root)
     rows = df.orderBy("event_time").collect()
     assert len(rows) == 3
     assert (rows[0].year, rows[0].month, rows[0].day) == ("2026", "03", "20")
-    assert rows[0].error_code is None and rows[0].battery_level == 8
+    assert rows[0].error_code is None and rows[0].battery_level == 61
     assert str(rows[2].event_time) == "2026-03-21 07:37:00"
 
 
@@ -64,13 +64,14 @@ def test_mixed_depth(spark, tmp_path):
     assert {(r.month, r.day): r["count"] for r in rows} == {("03", "20"): 2, ("03", "21"): 1}
 
 
-def test_unreadable_file_is_skipped(spark, tmp_path, make):
+def test_a_broken_file_of_the_table_fails_the_job(spark, tmp_path, make):
     path = str(tmp_path / "t")
     tables.write_raw(make({}), path)
     folder = os.path.join(path, "year=2026", "month=03", "day=20")
     with open(os.path.join(folder, "broken.parquet"), "w") as out:
         out.write("no parquet")
-    assert files.read_telemetry(spark, path).count() == 1
+    with pytest.raises(Exception, match="broken.parquet"):
+        files.read_telemetry(spark, path).select("device_id").collect()
 
 
 def test_missing_table_is_empty(spark, tmp_path):

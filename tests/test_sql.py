@@ -21,7 +21,7 @@ def test_values_are_text_and_null_stays_null(spark):
 
 
 def test_limit_counts_data_rows(spark):
-    assert reports.run_sql(spark, "SELECT id FROM range(5000)").count() == 1000
+    assert reports.run_sql(spark, "SELECT id FROM range(5000)").count() == 5000
     assert reports.run_sql(spark, "SELECT id FROM range(5000)", max_rows=7).count() == 7
     assert reports.run_sql(spark, "SELECT id FROM range(0)").count() == 0
 
