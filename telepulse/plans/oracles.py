@@ -521,6 +521,11 @@ ORACLES: dict[str, str] = {
     "read_telemetry_csv": over_telemetry(
         f"SELECT {ALL} FROM telemetry"
     ),
+    "tolerant_read": over_telemetry(
+        "SELECT year || '/' || month || '/' || day AS path, count(*) AS lines, "
+        "count(*) FILTER (event_id % 13 = 0) AS skipped FROM telemetry GROUP BY ALL"
+    ),
+    "repair_partitions": over_telemetry("SELECT year, month, day, count(*) AS events FROM telemetry GROUP BY ALL"),
     "read_hour": over_telemetry(f"SELECT {ALL} FROM telemetry WHERE {hour_before(HOUR_AS_OF)}"),
     "parse_csv_record": f"""SELECT 'ROBOT-' || user_id AS device_id,
   CASE WHEN event_id % 9 <> 0 THEN value END AS temperature,

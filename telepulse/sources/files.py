@@ -68,6 +68,16 @@ def parse_telemetry_lines(lines: DataFrame) -> DataFrame:
     return _typed(_without_headers(parsed.select("record.*", *PARTITION_COLUMNS)))
 
 
+def skipped_lines(lines: DataFrame) -> DataFrame:
+    """(path, value) of the lines that are no full record: a wrong number of fields, or values of another type."""
+    bad = "_no_record"
+    options = {**_CSV_OPTIONS, "columnNameOfCorruptRecord": bad}
+    record = F.from_csv("value", f"{TELEMETRY_CSV_DDL}, {bad} string", options)
+    parsed = lines.filter(F.length(F.trim("value")) > 0).select("path", "value", record.alias("record"))
+    is_header = F.col("value").startswith(",".join(TELEMETRY_COLUMNS[:3]))
+    return parsed.filter(F.col(f"record.{bad}").isNotNull() & ~is_header).select("path", "value")
+
+
 def parse_six_field_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Lines of the older six-field record; what is no number becomes NULL."""
     part = F.split(F.col(column), ",")
