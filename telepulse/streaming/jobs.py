@@ -7,9 +7,10 @@ Table sinks are Spark's own file sinks: exactly once per checkpoint.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -38,15 +39,16 @@ def _to_files(
     partitions: list[str],
     trigger: Trigger,
     files: int,
-    spread: str,
+    *spread: Column | str,
 ) -> StreamingQuery:
     """Append to a partitioned table, at most ``files`` files a batch and partition.
 
-    Rows of a partition go to that many tasks by the hash of ``spread``: one
-    that holds most of a batch is shared out, and quiet ones do not get a file
-    from every task.
+    Rows of a partition go to that many tasks by the hash of ``spread`` and of
+    the task that read them: one that holds most of a batch is shared out,
+    also where all its rows are alike, and quiet ones do not get a file from
+    every task.
     """
-    bucket = F.pmod(F.xxhash64(spread), F.lit(files))
+    bucket = F.pmod(F.xxhash64(*spread, F.spark_partition_id()), F.lit(files))
     writer = df.repartition(*partitions, bucket).writeStream.format("parquet").outputMode("append")
     return (
         writer.partitionBy(*partitions)
@@ -70,7 +72,7 @@ def stream_ingest(
     Late events land in the partition of their own day.
     """
     rows = ingest.accepted_events(ingest.ingest(raw))
-    return _to_files(rows, path, checkpoint, PARTITION_COLUMNS, trigger, files_per_day, "event_time")
+    return _to_files(rows, path, checkpoint, PARTITION_COLUMNS, trigger, files_per_day, "device_id", "event_time")
 
 
 def stream_rejects(
@@ -122,9 +124,12 @@ def _metrics_job(
     checkpoint: str,
     trigger: Trigger,
 ) -> StreamingQuery:
+    # Batches count from 0 in every checkpoint, so its folder is part of the name of a run.
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+
     def publish(_: DataFrame, batch_id: int) -> None:
         # A batch that is run again replaces what it had written.
-        append_metrics(compute(), metrics_path, run=f"{name}-{batch_id}")
+        append_metrics(compute(), metrics_path, run=f"{name}-{stream}-{batch_id}")
 
     writer = ticks.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
     return writer.trigger(**trigger).start()

@@ -125,3 +125,20 @@ def test_metric_jobs_publish_at_each_trigger(spark, make, folders):
     now = {r.metric: r.value for r in kpi.kpi_metrics(kpi.fleet_kpis(table(), as_of=as_of), as_of=as_of).collect()}
     assert now["ActiveDeviceCount"] == 2
     assert only(quality.data_freshness(table(), as_of=as_of))["freshness_minutes"] == 10
+
+
+def test_timeless_events_of_one_batch_use_several_tasks(spark, tmp_path):
+    """Events without a time all get the batch's one; their devices spread them."""
+    source, table = str(tmp_path / "raw"), str(tmp_path / "table")
+    event = {"fleet_id": "f", "battery_level": 5, "speed_mps": 0, "status": "ACTIVE", "location_zone": "z", "temperature_celsius": 1}
+    lines = [(json.dumps({**event, "device_id": f"d{i}"}),) for i in range(20_000)]
+    spark.createDataFrame(lines, "value string").coalesce(1).write.text(source)
+    raw = spark.readStream.schema("value string").text(source)
+    joined = "spark.sql.adaptive.coalescePartitions.enabled"  # would put so few rows into one task again
+    spark.conf.set(joined, "false")
+    try:
+        jobs.stream_ingest(raw, table, str(tmp_path / "check"), trigger=jobs.ONCE).awaitTermination()
+    finally:
+        spark.conf.set(joined, "true")
+    written = spark.read.parquet(table)
+    assert written.count() == 20_000 and len(written.inputFiles()) > 4
