@@ -57,15 +57,23 @@ def previous_hour_stats(df: DataFrame, *, as_of: AsOf = None, **options) -> Data
     return window_stats(in_previous_hour(df, as_of=as_of), **options)
 
 
-def processing_report(df: DataFrame, *, as_of: AsOf = None, **options) -> DataFrame:
-    """One row of counts for the scheduled job; zeros where there was no data."""
+def processing_report(
+    df: DataFrame,
+    *,
+    as_of: AsOf = None,
+    key: str = "device_id",
+    time: str = "event_time",
+    measures: Sequence[str] = TELEMETRY_MEASURES,
+    length: str = WINDOW_LENGTH,
+) -> DataFrame:
+    """One row of counts for the scheduled job; zeros where there was no data. Options are those of ``window_stats``."""
     rows = in_previous_hour(df, as_of=as_of)
     per_window = (
-        rows.groupBy("device_id", F.window("event_time", options.get("length", WINDOW_LENGTH)))
+        rows.groupBy(key, F.window(time, length))
         .agg(
             F.count("*").alias("records"),
             F.count_if(
-                F.col("temperature_celsius").between(OUTLIER_MIN_TEMPERATURE, OUTLIER_MAX_TEMPERATURE)
+                F.col(measures[0]).between(OUTLIER_MIN_TEMPERATURE, OUTLIER_MAX_TEMPERATURE)
             ).alias("kept"),
         )
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telepulse.functions.calendar import lenient_timestamp
+from telepulse.functions.calendar import lenient_timestamp, with_partition_columns
 from telepulse.schema import (
     PARTITION_COLUMNS,
     PARTITION_DDL,
@@ -89,9 +89,10 @@ def parse_six_field_lines(lines: DataFrame, column: str = "value") -> DataFrame:
 
 
 def read_six_field_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The older record with its event time and partition columns, as the scheduled window job reads it."""
     lines = spark.read.options(**_TOLERANT).option("recursiveFileLookup", "true").text(path)
     records = parse_six_field_lines(lines)
-    return records.withColumn("event_time", F.timestamp_millis("timestamp"))
+    return with_partition_columns(records.withColumn("event_time", F.timestamp_millis("timestamp")))
 
 
 def read_telemetry(spark: SparkSession, path: str) -> DataFrame:

@@ -155,3 +155,17 @@ def test_expired_partitions_are_dropped(spark, table, make):
     assert [str(t)[:10] for t in expected] == ["2025-03-21", "2026-03-20"]
     assert tables.drop_expired_partitions(spark, name, as_of=as_of) == ["year=2025/month=03/day=20"]
     assert sorted(r.event_time for r in spark.table(name).collect()) == expected
+
+
+def test_the_hourly_job_reads_six_field_files(spark, tmp_path):
+    moments = [1774000000000, 1774000060000, 1774000700000]  # 2026-03-20 09:46:40, 09:47:40 and 09:58:20
+    lines = [f"pump-{i % 2},{20 + i},50,1000,{ms},x" for i, ms in enumerate(moments)] + ["pump-0,900,50,1000,1774000000000,x"]
+    folder = tmp_path / "deep" / "er"
+    folder.mkdir(parents=True)
+    (folder / "a.csv").write_text("\n".join(lines) + "\n")
+    df = files.read_six_field_csv(spark, str(tmp_path))
+    options = {"as_of": "2026-03-20 10:20:00", "measures": windows.SIX_FIELD_MEASURES}
+    report = only(windows.processing_report(df, **options))
+    assert (report["records_processed"], report["aggregates_created"]) == (4, 3)
+    stats = windows.previous_hour_stats(df, **options)
+    assert stats.count() == 3 and "humidity_avg" in stats.columns
