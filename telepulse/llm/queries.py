@@ -65,4 +65,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op6_chat": chat.chat_sql(),
+    "op8_near_duplicates": setsketch.near_duplicates_sql(),
 }

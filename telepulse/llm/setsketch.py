@@ -6,7 +6,7 @@ i-th hash gives to a shingle, so sketches of parts merge by the maximum of
 registers. Bands of four registers put alike sets into common buckets.
 
 1. A bucket's members are paired with its smallest one. Pairs whose likelihood
-   estimate of the Jaccard similarity lies more than five standard deviations
+   estimate of the Jaccard similarity lies more than four standard deviations
    below the limit go; the others are confirmed on whole sets. Links join
    components.
 2. Buckets that still hold several components compare, in blocks, all members
@@ -14,7 +14,7 @@ registers. Bands of four registers put alike sets into common buckets.
    confirmed in the same way. Pairs within a component are never made.
 
 So no link between different sets is lost but for those that share no band, and
-those the estimate rejects: at similarity 0.85 less than one in 100,000.
+those the estimate rejects: at similarity 0.85 about three in 100,000.
 Sets are compared as 64-bit shingle hashes, blocks of documents with blocks, so
 a set is sent once for many pairs. Nodes are 64-bit hashes of whole sets.
 
@@ -41,7 +41,7 @@ from telepulse.llm.tables import bound_batches, saved, slices, texts
 
 REGISTERS, ROWS, BANDS = 128, 4, 20
 BASE, RATE, TOP = 1.02, 20.0, (1 << 16) - 2
-SIGMAS = 5.0
+SIGMAS = 4.0
 BLOCK = 1024
 SALTS = mixed(np.arange(1, REGISTERS + 1, dtype=np.uint64))
 FACTORS = mixed(SALTS) | np.uint64(1)
@@ -90,15 +90,19 @@ def estimate(above: np.ndarray, below: np.ndarray, n_a: np.ndarray, n_b: np.ndar
 
 
 def hopeful(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
-    """Whether pairs of sketches may reach the limit: by size, and by the estimate less its uncertainty."""
+    """Whether pairs of sketches may reach the limit: by size, by equal registers, and by the likeliest similarity.
+
+    Both bounds lie SIGMAS standard deviations below the limit; registers agree at least as often as sets do.
+    """
     limit = percent / 100
+    least = limit - SIGMAS * np.sqrt(limit * (1 - limit) / REGISTERS)
     fine = np.minimum(n_a, n_b) * 100 >= percent * np.maximum(n_a, n_b)
-    fine &= (n_a > 0) & (n_b > 0)
+    fine &= (a == b).sum(axis=1) >= REGISTERS * least
     at = np.flatnonzero(fine)
-    guess = estimate(
-        (a[at] > b[at]).sum(axis=1).astype(float), (a[at] < b[at]).sum(axis=1).astype(float), n_a[at] * 1.0, n_b[at] * 1.0
-    )
-    fine[at] = guess >= limit - SIGMAS * np.sqrt(limit * (1 - limit) / REGISTERS)
+    if len(at):
+        a, b = a[at], b[at]
+        guess = estimate((a > b).sum(axis=1) * 1.0, (a < b).sum(axis=1) * 1.0, n_a[at] * 1.0, n_b[at] * 1.0)
+        fine[at] = guess >= least
     return fine
 
 
@@ -179,34 +183,53 @@ def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a bigint, b bigint")
 
 
+PAIRS = "a bigint, label_a bigint, h_a bigint, h_b bigint, partners array<bigint>, labels array<bigint>"
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, homes: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose whole sets reach the limit. Pairs are grouped by the blocks of both sides; each group gets a set once."""
-    home = lambda n: homes.select(F.col("node").alias(n), F.col("home").alias(f"h_{n}"))
-    placed = saved(
-        pairs.join(home("a"), "a").join(home("b"), "b").withColumn("group", F.xxhash64("h_a", "h_b")).select("group", "a", "b"),
-        "near-pairs",
-    )
-    members = placed.select("group", F.col("a").alias("node")).union(placed.select("group", F.col("b").alias("node"))).distinct()
-    needed = members.join(sets, "node").withColumnRenamed("group", "set_group")
+    """Links (a, b, with their labels) that whole sets confirm, of rows as in PAIRS.
+
+    Rows are grouped by the blocks (homes) of both sides; a group gets the sets of its two blocks once. Links that
+    join what earlier links of the group have joined are left out.
+    """
+    placed = saved(pairs.withColumn("group", F.xxhash64("h_a", "h_b")), "near-pairs")
+    of_group = placed.select("group", F.explode(F.array_distinct(F.array("h_a", "h_b"))).alias("home")).distinct()
+    needed = of_group.join(homes, "home").join(sets, "node").select(F.col("group").alias("set_group"), "node", "shingles")
 
     def confirm(pairs: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
         found = {n: np.frombuffer(s, np.uint64) for n, s in zip(sets["node"], sets["shingles"], strict=True)}
-        keep = []
-        for a, b in pairs.sort_values("a")[["a", "b"]].itertuples(index=False):
-            x, y = found[a], found[b]
-            at = np.searchsorted(x, y)
-            at[at == len(x)] = 0
-            common = int((x[at] == y).sum())
-            keep.append((a, b, 100 * common >= percent * (len(x) + len(y) - common)))
-        return pd.DataFrame([(a, b) for a, b, fine in keep if fine], columns=["a", "b"], dtype=np.int64)
-
-    return placed.groupBy("group").cogroup(needed.groupBy("set_group")).applyInPandas(confirm, "a bigint, b bigint")
+        up: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while up.get(x, x) != x:
+                up[x] = x = up.get(up[x], up[x])
+            return x
+
+        out = []
+        for a, label, partners, labels in zip(pairs["a"], pairs["label_a"], pairs["partners"], pairs["labels"], strict=True):
+            x = found[a]
+            for b, other in zip(partners.tolist(), labels.tolist(), strict=True):
+                one, two = top(label), top(other)
+                if one == two:
+                    continue
+                y = found[b]
+                at = np.searchsorted(x, y)
+                at[at == len(x)] = 0
+                common = int(np.count_nonzero(x[at] == y))
+                if 100 * common >= percent * (len(x) + len(y) - common):
+                    up[max(one, two)] = min(one, two)
+                    out.append((a, b, label, other))
+        return pd.DataFrame(out, columns=["a", "b", "label_a", "label_b"], dtype=np.int64)
+
+    grouped = placed.groupBy("group").cogroup(needed.groupBy("set_group"))
+    return grouped.applyInPandas(confirm, "a bigint, b bigint, label_a bigint, label_b bigint")
 
 
 def _rest(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components in common buckets that the sketches don't rule out, each in its first common band.
+    """Rows as in PAIRS: documents of different components in common buckets that the sketches don't rule out, each pair
+    in its first common band.
 
-    ``members``: node, band, value, label. The members of a bucket's largest component are cut into blocks and
+    ``members``: node, band, value, label, home. The members of a bucket's largest component are cut into blocks and
     compared with blocks of the others, and the others among each other.
     """
     key = ["band", "value"]
@@ -241,18 +264,20 @@ def _rest(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     dealt = (
         members.join(mixed_up, key)
         .withColumn("block", block)
-        .select("node", "band", "value", "label", "block", F.explode(targets).alias("at"))
+        .select("node", "band", "value", "label", "home", "block", F.explode(targets).alias("at"))
         .join(nodes.select("node", "registers", "n_shingles"), "node")
-        .select("node", "band", "label", "registers", "n_shingles", "block", F.col("at.i").alias("i"), F.xxhash64(*key, "at").alias("group"))
+        .select(
+            "node", "band", "label", "home", "registers", "n_shingles", "block", F.col("at.i").alias("i"), F.xxhash64(*key, "at").alias("group")
+        )
     )
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
         found = np.frombuffer(b"".join(rows["registers"]), np.uint16).reshape(-1, REGISTERS)
         band = int(rows["band"].iloc[0])
-        node, label, size = (rows[c].to_numpy() for c in ("node", "label", "n_shingles"))
+        node, label, size, home = (rows[c].to_numpy() for c in ("node", "label", "n_shingles", "home"))
         left = rows["block"].to_numpy() == rows["i"].to_numpy()
         right = ~left if (~left).any() else left
-        values = found[:, : BANDS * ROWS].copy().view(np.int64)
+        values = np.ascontiguousarray(found[:, : BANDS * ROWS]).view(np.int64)
         others, out = np.flatnonzero(right), []
         for k in np.flatnonzero(left):
             to = others[(label[others] != label[k]) & ((node[others] > node[k]) if right is left else True)]
@@ -260,11 +285,13 @@ def _rest(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             if len(to):
                 mine = np.broadcast_to(found[k], (len(to), REGISTERS))
                 to = to[hopeful(mine, found[to], np.full(len(to), size[k]), size[to], percent)]
-                out.append(np.stack([np.full(len(to), node[k]), node[to]], axis=1))
-        pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": pairs.min(axis=1), "b": pairs.max(axis=1)} if len(pairs) else {"a": [], "b": []}, dtype=np.int64)
+                for block in np.unique(home[to]):
+                    part = to[home[to] == block]
+                    part = part[np.argsort(-(found[part] == found[k]).sum(axis=1), kind="stable")]
+                    out.append((node[k], label[k], home[k], block, node[part], label[part]))
+        return pd.DataFrame(out, columns=["a", "label_a", "h_a", "h_b", "partners", "labels"])
 
-    return dealt.groupBy("group").applyInPandas(compare, "a bigint, b bigint")
+    return dealt.groupBy("group").applyInPandas(compare, PAIRS)
 
 
 def near_duplicates(
@@ -287,7 +314,6 @@ def near_duplicates(
     )
     members = saved(bands.join(shared.drop("members"), ["band", "value"]), "near-members")
     stars = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    likely = _likely(stars, nodes, percent)
     lowest = saved(members.groupBy("node").agg(F.min("pivot").alias("pivot")), "near-lowest")
     salts = lowest.groupBy("pivot").agg(F.ceil(F.count("*") / BLOCK).alias("salts"))
     homes = saved(
@@ -297,15 +323,24 @@ def near_duplicates(
         "near-homes",
     )
     sets = saved(_sets(rows, nodes.join(homes, "node", "left_semi").select("doc_id", "node"), words), "near-sets")
-    links = saved(_confirmed(likely, sets, homes, percent), "near-links")
-    touched = homes.select("node")
-    first = components(touched, links, "near-first")
-    more = _confirmed(_rest(members.join(first, "node"), nodes, percent), sets, homes, percent)
-    moved = more.join(first.select(F.col("node").alias("a"), F.col("label").alias("x")), "a").join(
-        first.select(F.col("node").alias("b"), F.col("label").alias("y")), "b"
+    home = lambda n: homes.select(F.col("node").alias(n), F.col("home").alias(f"h_{n}"))
+    likely = _likely(stars, nodes, percent).join(home("a"), "a").join(home("b"), "b")
+    rows_of = likely.select(
+        F.col("b").alias("a"),
+        F.col("b").alias("label_a"),
+        F.col("h_b").alias("h_a"),
+        F.col("h_a").alias("h_b"),
+        F.array("a").alias("partners"),
+        F.array("a").alias("labels"),
     )
+    links = saved(_confirmed(rows_of, sets, homes, percent).select("a", "b"), "near-links")
+    first = components(homes.select("node"), links, "near-first")
+    placed = members.join(first, "node").join(homes, "node")
+    more = _confirmed(_rest(placed, nodes, percent), sets, homes, percent)
     joined = components(
-        first.select(F.col("label").alias("node")).distinct(), moved.select(F.col("x").alias("a"), F.col("y").alias("b")), "near-last"
+        first.select(F.col("label").alias("node")).distinct(),
+        more.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")),
+        "near-last",
     )
     labels = first.join(joined.select(F.col("node").alias("label"), F.col("label").alias("final")), "label").select("node", "final")
     # a set that shares no band is a component of its own
@@ -320,3 +355,28 @@ def near_duplicates(
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def near_duplicates_sql(size: int = 3, percent: int = 85) -> str:
+    """The same rows in SQL, by joining documents on every shingle: for small tables."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    gram = " || ' ' || ".join(f"ws[i + {k}]" for k in range(size))
+    return rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT doc_id, unnest(CASE
+    WHEN len(ws) >= {size} THEN list_distinct(list_transform(range(1, len(ws) - {size - 2}), lambda i: {gram}))
+    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS g FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), half AS (
+  SELECT x, y FROM common JOIN n m ON m.doc_id = x JOIN n o ON o.doc_id = y WHERE 100 * c >= {percent} * (m.n + o.n - c)
+), links AS (SELECT x, y FROM half UNION ALL SELECT y, x FROM half),
+reach AS (
+  SELECT doc_id, doc_id AS r FROM documents
+  UNION SELECT reach.doc_id, links.y FROM reach JOIN links ON links.x = reach.r
+), least AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, coalesce(n.n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM least LEFT JOIN n USING (doc_id)"""

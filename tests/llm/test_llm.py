@@ -346,7 +346,7 @@ def test_context_tree_of_odd_rows(spark, odd_docs):
 
 
 def test_context_tree_beats_the_base_on_held_out_text(spark):
-    found = context_tree.score_texts(spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id < 3000"))
+    found = context_tree.score_texts(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
     row = found.where("held_out").agg(F.sum("score").alias("model"), F.sum("base_score").alias("base")).first()
     assert row.model > row.base
 
@@ -443,3 +443,10 @@ def test_pipeline_runs_and_keeps_its_promises(spark):
 def test_every_operator_is_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in queries.QUERIES)
     assert numbers == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_equals_its_sql(spark, name):
+    from compare import connect, differences
+
+    assert differences(queries.QUERIES[name](spark, SMALL), connect(SMALL), queries.ORACLES[name]) == []
