@@ -30,7 +30,8 @@ from telepulse.llm.tables import bound_batches, slices, texts
 NONE = np.int64(1) << 62
 WIDE = 128  # pretokens with more pairs get a tree of their own
 ROWS = 1 << 14
-REMEMBERED = 400_000
+REMEMBERED = 200_000  # pretokens a worker keeps
+SLICE = 1 << 20  # bytes of text encoded at once
 FILE = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -189,7 +190,7 @@ def bpe_encode(docs: DataFrame, path: str = FILE, id_col: str = "doc_id", text_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             ids = encoder.encode(texts(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
                 [

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from telepulse.session import shared_folder
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
