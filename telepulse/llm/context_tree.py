@@ -35,7 +35,8 @@ from telepulse.llm.shingles import word_hashes
 from telepulse.llm.tables import bound_batches, saved
 
 DEPTH = 4
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 12 << 20
+PART_BYTES = 1 << 20  # words are hashed in parts of a block
 END = 0xFF
 
 
@@ -57,16 +58,19 @@ class Trie:
         letter[present] = np.arange(len(present))
         codes = letter[data].astype(np.int32)
         # a gram ends at each byte but those of the heads; its number grows by one byte a level
+        small = np.int32 if len(data) < 1 << 31 else np.int64
         keep = np.ones(len(data), bool)
         ends = np.cumsum(self.lengths + DEPTH)
         starts = ends - self.lengths - DEPTH
         for k in range(DEPTH):
             keep[starts + k] = False
-        last = np.flatnonzero(keep)
+        last = np.flatnonzero(keep).astype(small)
+        del keep
         number = codes[last - DEPTH]
         grams = present.astype(np.uint64)
         for level in range(DEPTH - 1, -1, -1):
-            step = number.astype(np.int64) * len(present) + codes[last - level]
+            wide = np.int32 if len(grams) * len(present) < 1 << 31 else np.int64
+            step = number.astype(wide) * wide(len(present)) + codes[last - small(level)]
             seen = np.zeros(len(grams) * len(present), bool)
             seen[step] = True
             found = np.flatnonzero(seen)
@@ -77,8 +81,8 @@ class Trie:
 
     def counts(self, trained: np.ndarray) -> np.ndarray:
         """How often each gram ends in the texts that are trained on."""
-        weight = np.repeat(trained.astype(np.float64), self.lengths)
-        return np.bincount(self.number, weights=weight, minlength=len(self.grams)).astype(np.int64)
+        used = self.number[np.repeat(trained, self.lengths)]
+        return np.bincount(used, minlength=len(self.grams))
 
     def sums(self, price: np.ndarray) -> np.ndarray:
         """Sum over each text of the prices of its grams."""
@@ -192,13 +196,18 @@ def gram_prices(grams: DataFrame, priced: DataFrame, rows: int = 200_000) -> Dat
     return a.groupBy("bucket").cogroup(b.groupBy("bucket_of")).applyInPandas(price, "gram bigint, price double")
 
 
-GRAM, WORD = 0, 1
-
-
 def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of all texts and the text of each."""
-    words, begins = word_hashes(texts)
-    return words.view(np.int64), np.repeat(np.arange(len(texts)), np.diff(begins))
+    """Keys of the words of all texts, and the text of each. They are negative 64-bit hashes; keys of grams are not."""
+    keys, owners, at = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+    ends = np.cumsum([len(t) for t in texts])
+    while at < len(texts):
+        done = ends[at - 1] if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, done + PART_BYTES, "right")))
+        words, begins = word_hashes(texts[at:stop])
+        keys.append((words | np.uint64(1 << 63)).view(np.int64))
+        owners.append(np.repeat(np.arange(at, stop), np.diff(begins)))
+        at = stop
+    return np.concatenate(keys), np.concatenate(owners)
 
 
 def _count_block(table: pa.Table) -> pa.Table:
@@ -211,37 +220,34 @@ def _count_block(table: pa.Table) -> pa.Table:
     return pa.table(
         {
             "block": np.full(len(keys), table.column("block")[0].as_py(), np.int64),
-            "kind": np.repeat(np.array([GRAM, WORD], np.int32), [len(trie.grams), len(names)]),
             "key": keys,
             "n": np.concatenate([trie.counts(trained), times]),
         }
     )
 
 
-def _score_block(end_price: float, end_known: bool, total: int):
+def _score_block(end_price: float, end_known: bool, unknown_price: float, total: int):
     def score(docs: pa.Table, prices: pa.Table) -> pa.Table:
         texts = docs.column("text").to_pylist()
-        kind, key = prices.column("kind").to_numpy(), prices.column("key").to_numpy()
-        price, known = prices.column("price").to_numpy(), prices.column("known").to_numpy()
+        key, price = prices.column("key").to_numpy(), prices.column("price").to_numpy()
+        order = np.argsort(key)
+        key, price = key[order], price[order]
+        grams = np.searchsorted(key, 0)  # words before, grams from here
         trie = Trie(texts)
-        grams = np.flatnonzero(kind == GRAM)
-        grams = grams[np.argsort(key[grams])]
-        if not np.array_equal(key[grams], trie.grams.view(np.int64)):
+        if not np.array_equal(key[grams:], trie.grams.view(np.int64)):
             raise ValueError("the prices of a block are not those of its grams")
         words, owner = _tokens(texts)
-        at = np.flatnonzero(kind == WORD)
-        at = at[np.argsort(key[at])]
-        place = at[np.searchsorted(key[at], words)]
+        paid = price[np.searchsorted(key[:grams], words)]
         n = len(texts)
         return pa.table(
             {
                 "doc_id": docs.column("doc_id"),
                 "held_out": docs.column("held_out"),
                 "n_tokens": np.bincount(owner, minlength=n) + 1,
-                "n_known": np.bincount(owner, weights=known[place], minlength=n).astype(np.int64) + int(end_known),
+                "n_known": np.bincount(owner, weights=paid > unknown_price, minlength=n).astype(np.int64) + int(end_known),
                 "train_tokens": np.full(n, total, np.int64),
-                "base_score": np.bincount(owner, weights=price[place], minlength=n) + end_price,
-                "score": trie.sums(price[grams]),
+                "base_score": np.bincount(owner, weights=paid, minlength=n) + end_price,
+                "score": trie.sums(price[grams:]),
                 "n_bytes": trie.lengths - 1,
             }
         )
@@ -259,12 +265,12 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     blocks, ends = max(1, math.ceil((sizes[0] or 0) / BLOCK_BYTES)), sizes[1] or 0
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
     counts = saved(
-        dealt.groupBy("block").applyInArrow(_count_block, "block bigint, kind int, key bigint, n bigint"), "context-counts"
+        dealt.groupBy("block").applyInArrow(_count_block, "block bigint, key bigint, n bigint"), "context-counts"
     )
     grams = saved(
-        counts.where(F.col("kind") == GRAM).groupBy(F.col("key").alias("gram")).agg(F.sum("n").alias("n")), "context-grams"
+        counts.where("key >= 0").groupBy(F.col("key").alias("gram")).agg(F.sum("n").alias("n")), "context-grams"
     )
-    words = saved(counts.where(F.col("kind") == WORD).groupBy("key").agg(F.sum("n").alias("c")), "context-words")
+    words = saved(counts.where("key < 0").groupBy("key").agg(F.sum("n").alias("c")), "context-words")
     seen = words.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     total, distinct = seen[0] + ends, seen[1] + int(ends > 0)
 
@@ -272,16 +278,16 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         return F.log10((c + 0.5) / (total + 0.5 * (distinct + 1)))
 
     end_price = math.log10((ends + 0.5) / (total + 0.5 * (distinct + 1)))
-    priced = gram_prices(grams, prices(tree(grams))).select(
-        F.lit(GRAM).alias("kind"), F.col("gram").alias("key"), "price", F.lit(True).alias("known")
-    )
-    priced = priced.union(words.select(F.lit(WORD), "key", base(F.col("c")), F.col("c") > 0))
-    sent = counts.select("block", "kind", "key").join(priced, ["kind", "key"]).withColumnRenamed("block", "of_block")
+    # a word that training has not seen has a price of its own; half a count parts it from the others
+    unknown_price = math.log10(0.75 / (total + 0.5 * (distinct + 1)))
+    priced = gram_prices(grams, prices(tree(grams))).withColumnRenamed("gram", "key")
+    priced = priced.union(words.select("key", base(F.col("c"))))
+    sent = counts.select(F.col("block").alias("of_block"), "key").join(priced, "key")
     scored = (
         dealt.groupBy("block")
         .cogroup(sent.groupBy("of_block"))
         .applyInArrow(
-            _score_block(end_price, ends > 0, total),
+            _score_block(end_price, ends > 0, unknown_price, total),
             "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, "
             "score double, n_bytes bigint",
         )
