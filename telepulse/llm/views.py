@@ -7,6 +7,7 @@ language, source, length, lines and how far it can be compressed.
 
 from __future__ import annotations
 
+import functools
 import math
 import zlib
 
@@ -42,13 +43,30 @@ def text_view(text: str, chosen: dict[str, int]) -> np.ndarray:
     return out
 
 
+@functools.cache
+def _lowered() -> np.ndarray:
+    """For every code point, whether lower() changes it."""
+    return np.fromiter((chr(c).lower() != chr(c) for c in range(0x110000)), bool, 0x110000)
+
+
+def upper_share(text: str) -> float:
+    """Share of upper-case characters in the whole text, read in pieces."""
+    count = 0
+    for at in range(0, len(text), 1 << 20):
+        piece = text[at : at + (1 << 20)]
+        if piece.isascii():
+            codes = np.frombuffer(piece.encode(), np.uint8)
+            count += np.count_nonzero((codes >= 65) & (codes <= 90))
+        else:
+            count += np.count_nonzero(_lowered()[np.frombuffer(piece.encode("utf-32-le"), np.uint32)])
+    return count / max(1, len(text))
+
+
 def page_view(text: str, lang: str | None, source: str | None) -> np.ndarray:
     size = max(1, len(text))
     data = text.encode()
     packed = len(zlib.compress(data, 1)) / max(1, len(data))
     lines = text.count("\n") + 1
-    low = text.lower()
-    upper = sum(map(str.__ne__, text[:4096], low[:4096])) / min(size, 4096) if len(low) == len(text) else 0.0
     out = np.zeros(2 * SLOTS + 6, np.float32)
     out[zlib.crc32((lang or "").encode()) % SLOTS] = 1
     out[SLOTS + zlib.crc32((source or "").encode()) % SLOTS] = 1
@@ -57,7 +75,7 @@ def page_view(text: str, lang: str | None, source: str | None) -> np.ndarray:
         math.log1p(lines) / 10,
         math.log1p(size / lines) / 10,
         min(packed, 1.5),
-        upper,
+        upper_share(text),
         text.count(" ") / size,
     )
     return out

@@ -28,6 +28,7 @@ from telepulse.llm import (
     queries,
     setsketch,
     token_counts,
+    views,
 )
 from telepulse.llm.pretokens import vocabulary
 
@@ -389,6 +390,12 @@ def test_cotraining_on_held_out_labels(spark):
     assert np.mean(clean) > 0.97 and np.mean(bad) < 0.25
 
 
+def test_upper_case_is_counted_over_the_whole_text():
+    for text in ("a" * 5000 + "B" * 5000, "İ" + "A" * 99 + "b" * 100, "éÉ😀Σ" * 3000, "", "a b"):
+        share = views.page_view(text, None, None)[2 * views.SLOTS + 4]
+        assert share == pytest.approx(sum(c.lower() != c for c in text) / max(1, len(text))), text[:10]
+
+
 def test_classifiers_without_labels_and_odd_rows(spark, odd_docs):
     none = spark.createDataFrame([(1, None, None)], "doc_id long, quality int, toxic int")
     assert cotraining.keep_good(odd_docs, none).count() == odd_docs.count()
