@@ -3,7 +3,7 @@
 Paragraphs (lines) are hashed to 8 lanes that are summed modulo 2^64; these say
 whether two documents have the same paragraphs in any order. Phrases (what ends
 at punctuation, or 48 letters) are hashed to 256 signs that are summed modulo
-2^16; their cosine says how alike two documents are. Both are sums, so a
+2^64; their cosine says how alike two documents are. Both are sums, so a
 paragraph is inserted by ``add`` and deleted by ``subtract`` without the text.
 
 The edited text of a document takes from the one after it. Documents are dealt
@@ -38,7 +38,7 @@ Fingerprint = tuple[np.ndarray, np.ndarray]
 
 
 def zero() -> Fingerprint:
-    return np.zeros(LANES, np.uint64), np.zeros(SIGNS, np.int16)
+    return np.zeros(LANES, np.uint64), np.zeros(SIGNS, np.int64)
 
 
 def fingerprint(text: str | None) -> Fingerprint:
@@ -53,7 +53,7 @@ def fingerprint(text: str | None) -> Fingerprint:
         part = phrases[at : at + 4096]
         bits = np.unpackbits(np.frombuffer(b"".join(part), np.uint8)).reshape(-1, SIGNS)
         signs += 2 * bits.sum(axis=0, dtype=np.int32) - len(part)
-    return lanes, signs.astype(np.int16)
+    return lanes, signs
 
 
 def add(a: Fingerprint, b: Fingerprint) -> Fingerprint:
@@ -74,7 +74,7 @@ def likeness(a: Fingerprint, b: Fingerprint) -> float:
 
 
 def written(f: Fingerprint) -> str:
-    return base64.b64encode(f[0].astype("<u8").tobytes() + f[1].astype("<i2").tobytes()).decode()
+    return base64.b64encode(f[0].astype("<u8").tobytes() + f[1].astype("<i8").tobytes()).decode()
 
 
 def edited(text: str, after: str) -> str:

@@ -182,6 +182,17 @@ def test_fingerprints_are_homomorphic():
     assert fingerprints.likeness(whole, fingerprints.fingerprint(a + "else")) < 1
 
 
+def test_fingerprints_count_a_phrase_of_40000_times(spark):
+    text = "0, " * 40_000
+    whole, half = fingerprints.fingerprint(text), fingerprints.fingerprint("0, " * 20_000 + "other, words")
+    assert np.abs(np.abs(whole[1]) - 40_000).max() <= 3  # the first and the last phrase are others
+    assert fingerprints.likeness(whole, half) > 0.999
+    total = fingerprints.add(whole, whole)
+    assert np.array_equal(fingerprints.subtract(total, whole)[1], whole[1]) and np.array_equal(total[1], 2 * whole[1])
+    docs = spark.createDataFrame([(1, text), (2, text[:60_000] + "other, words")], "doc_id long, text string")
+    assert all(r.near_edited > 0.999 and r.near_next > 0.999 for r in fingerprints.fingerprints(docs).collect())
+
+
 def test_chat_escapes_and_masks(spark):
     rng = random.Random(2)
     parts = [*chat.GUARDED, "<\\|turn|>", "<\\\\/s>", "[", "\\", "<", "|", "a", " ", "é😀", "\n", ""]
