@@ -7,8 +7,11 @@ takes runs without giving them back.
 
 Base kinds: email, ip (parts to 255), card (12 to 19 digits, Luhn), phone (9 to
 15 digits). Added kinds: iban (mod-97) and id_number (a grouped number that
-counts only near a context word). A context word in the 40 code points before a
-span raises its score; base spans stay whatever their score is.
+counts only near a context word). An IBAN has the length of its country, where
+the registry has the country, whatever follows it. A context word in the 40 code
+points of text before a span raises its score, and so does one in the 20 behind
+it, as far as the clause goes on and no other candidate of the kind starts; base
+spans stay whatever their score is.
 
 Defined results: null or empty text has no spans; repeated rows give repeated
 results; an empty table gives no rows; extra columns pass through
@@ -30,7 +33,7 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9][0-9 \-]+",  # after lone separators are masked
     "phone": r"\+[0-9][ ().0-9\-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?: ?[A-Z0-9]){11})(?=([\s\S]{0,90}))",  # its head; group 1 is what follows
     "id_number": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
 # Texts without this can't hold the kind, and are not searched for places.
@@ -42,6 +45,13 @@ NEEDED = {
     "iban": "[A-Z]{2}[0-9]{2}",
     "id_number": "-[0-9]{2}-",
 }
+# Letters of an IBAN by country.
+IBAN_LETTERS = {
+    15: "NO", 16: "BE", 18: "DK FK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH CR HR LI LV",
+    22: "BG BH DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
 LONE_SEPARATOR = r"[ \-](?![0-9])|(?<![0-9])[ \-]"
 PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
 
@@ -54,7 +64,8 @@ CONTEXT_WORDS = {
     "iban": "iban|bank|account|transfer",
     "id_number": "ssn|social security|national id|passport|licen[cs]e no",
 }
-CONTEXT, BONUS, KEEP = 40, 0.3, 0.5
+CONTEXT, BEHIND, BONUS, KEEP = 40, 20, 0.3, 0.5
+PAIRS_BEFORE = CONTEXT // 2  # a hit has two code points at least
 BLOCK = 128
 
 
@@ -74,6 +85,16 @@ def _mod97(text: Column) -> Column:
     return F.aggregate(letters, F.lit(0), step)
 
 
+def _iban(head: Column, rest: Column) -> Column:
+    """The IBAN that starts with ``head``: as long as its country's are, or else as far as letters go."""
+    country = F.substring(head, 1, 2)
+    body = F.lit(r"^(?: ?[A-Z0-9]){11,30}+(?![A-Za-z0-9])")
+    for letters, countries in IBAN_LETTERS.items():
+        of_length = F.lit(rf"^(?: ?[A-Z0-9]){{{letters - 4}}}(?![A-Za-z0-9])")
+        body = F.when(country.isin(countries.split()), of_length).otherwise(body)
+    return F.concat(head, F.call_function("regexp_extract", rest, body, F.lit(0)))
+
+
 def _confirmed(kind: str, found: Column) -> Column:
     digits = _digits(found)
     return {
@@ -89,27 +110,47 @@ def _confirmed(kind: str, found: Column) -> Column:
 SPANS = "array<struct<start:int,rank:int,end:int,score:double>>"
 
 
-def _block(kind: str, pairs: Column) -> Column:
-    """Length of a block of (gap, hit) pairs, and its confirmed spans counted from its start."""
+def _block(kind: str, pairs: Column, first: Column) -> Column:
+    """Length of a block of (gap, hit, rest) pairs, and its confirmed spans counted from its start.
+
+    The text before a span is put together of the ends of the pairs before it, those of earlier blocks too.
+    """
     state = F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as {SPANS})").alias("spans"))
+    words = rf"(?:^|[^a-z])(?:{CONTEXT_WORDS[kind]})"
 
-    def step(acc: Column, pair: Column) -> Column:
+    def end_of(text: Column) -> Column:
+        return F.substring(F.coalesce(text, F.lit("")), -CONTEXT, CONTEXT)
+
+    def step(acc: Column, k: Column) -> Column:
+        pair = F.get(pairs, k)
         gap, hit = pair["gap"], pair["hit"]
         start = acc["at"] + F.length(gap)
-        end = start + F.coalesce(F.length(hit), F.lit(0))
-        near = F.lower(F.substring(gap, -CONTEXT, CONTEXT))
-        bonus = F.when(near.rlike(rf"(?:^|[^a-z])(?:{CONTEXT_WORDS[kind]})"), BONUS).otherwise(0.0)
+        after_hit = start + F.coalesce(F.length(hit), F.lit(0))
+        found = _iban(hit, pair["rest"]) if kind == "iban" else hit
+        end = start + F.length(found)
+        earlier = F.slice(pairs, F.greatest(k - PAIRS_BEFORE, F.lit(0)) + 1, F.least(k, F.lit(PAIRS_BEFORE)))
+        before = F.concat(
+            F.array_join(F.transform(earlier, lambda p: F.concat(end_of(p["gap"]), end_of(p["hit"]))), ""), end_of(gap)
+        )
+        if kind == "iban":
+            behind = F.call_function("substring", pair["rest"], F.length(found) - F.length(hit) + 1, F.lit(BEHIND))
+        else:
+            behind = F.substring(F.get(pairs, k + 1)["gap"], 1, BEHIND)
+        behind = F.regexp_extract(F.coalesce(behind, F.lit("")), r"^[^,;.!?\n]*", 0)
+        near = F.lower(end_of(before)).rlike(words) | F.lower(behind).rlike(words)
         span = F.struct(
             start.alias("start"),
             F.lit(KINDS.index(kind)).alias("rank"),
             end.alias("end"),
-            F.least(F.lit(START_SCORE[kind]) + bonus, F.lit(1.0)).alias("score"),
+            F.least(F.lit(START_SCORE[kind]) + F.when(near, BONUS).otherwise(0.0), F.lit(1.0)).alias("score"),
         )
-        keep = hit.isNotNull() & F.coalesce(_confirmed(kind, hit), F.lit(False))
+        keep = hit.isNotNull() & F.coalesce(_confirmed(kind, found), F.lit(False))
+        if kind == "iban":  # a head within an IBAN starts none
+            keep &= (F.size(acc["spans"]) == 0) | (F.coalesce(F.get(acc["spans"], F.size(acc["spans"]) - 1)["end"], F.lit(0)) <= start)
         spans = F.when(keep, F.array_append(acc["spans"], span)).otherwise(acc["spans"])
-        return F.struct(end.alias("at"), spans.alias("spans"))
+        return F.struct(after_hit.alias("at"), spans.alias("spans"))
 
-    return F.aggregate(pairs, state, step)
+    return F.aggregate(F.sequence(first, F.least(first + BLOCK, F.size(pairs)) - 1), state, step)
 
 
 def with_spans(docs: DataFrame, text_col: str = "text", out: str = "pii_spans") -> DataFrame:
@@ -141,7 +182,11 @@ def with_spans(docs: DataFrame, text_col: str = "text", out: str = "pii_spans")
         found,
         lambda kind, c: F.when(
             F.size(c) > 0,
-            F.arrays_zip(F.split(searched[kind], PATTERNS[kind], -1).alias("gap"), c.alias("hit")),
+            F.arrays_zip(
+                F.split(searched[kind], PATTERNS[kind], -1).alias("gap"),
+                c.alias("hit"),
+                *([F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(1)).alias("rest")] if kind == "iban" else []),
+            ),
         ),
     )
     blocks = each(
@@ -150,7 +195,7 @@ def with_spans(docs: DataFrame, text_col: str = "text", out: str = "pii_spans")
             F.size(c) > 0,
             F.transform(
                 F.sequence(F.lit(0), F.floor((F.size(c) - 1) / BLOCK).cast("int")),
-                lambda i: _block(kind, F.slice(c, i * BLOCK + 1, BLOCK)),
+                lambda i: _block(kind, c, i * BLOCK),
             ),
         ),
     )

@@ -151,6 +151,33 @@ def test_pii_long_texts_checksums_and_redaction(spark):
     assert clean[2].text == "[IP] " * 3000
 
 
+def test_pii_added_kinds_whatever_stands_around_them(spark):
+    iban, spaced = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"
+    cases = {
+        f"{spaced} BIC COBADEFF": [("iban", spaced)],
+        f"{iban} EUR 50": [("iban", iban)],
+        f"NO93 8601 1117 947 NOK 7, {spaced} GB29 NWBK 6016 1331 9268 19 A": [
+            ("iban", "NO93 8601 1117 947"), ("iban", spaced), ("iban", "GB29 NWBK 6016 1331 9268 19")
+        ],
+        f"AB12 3456 7890 12 {spaced}": [("iban", spaced)],
+        "MT84 MALT 0110 0001 2345 MTLC AST0 01S and DE88 3704 0044 0532 0130 00": [("iban", "MT84 MALT 0110 0001 2345 MTLC AST0 01S")],
+        f"{iban}x {iban}X": [],
+        "ssn 123-45-6789, 987-65-4321": [("id_number", "123-45-6789"), ("id_number", "987-65-4321")],
+        "é😀 123-45-6789 (SSN)": [("id_number", "123-45-6789")],
+        "number 123-45-6789 and nothing else": [],
+        "number 123-45-6789, ssn of others": [],
+        "ssn " + "123-45-6789 " * 3 + "x" * 40 + " 123-45-6789": [("id_number", "123-45-6789")] * 3,
+        ("x" * 40 + " 123-45-6789 ") * 127 + ". ssn 123-45-6789, 987-65-4321": [("id_number", "123-45-6789"), ("id_number", "987-65-4321")],
+    }
+    df = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    for row in pii.find_pii(df).collect():
+        text, wanted = list(cases.items())[row.doc_id]
+        spans = [s.split(":") for s in row.spans.split(",") if s]
+        assert [(k, text[int(a) : int(b)]) for k, a, b in spans] == wanted, text[-80:]
+    clean = {r.doc_id: r.text for r in pii.redact_pii(df).collect()}
+    assert clean[0] == "[IBAN] BIC COBADEFF" and clean[6] == "ssn [ID_NUMBER], [ID_NUMBER]"
+
+
 def test_pii_is_native(spark):
     plan = pii.find_pii(spark.createDataFrame([(1, "a")], "doc_id long, text string"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
