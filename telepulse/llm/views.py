@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LABELLED, POOL, WORDS = 6000, 6000, 512  # bounds of the samples and of the words chosen
+LABELLED, WORDS = 6000, 512  # bounds of the sample and of the words chosen
 SLOTS = 32
 
 
@@ -150,6 +150,27 @@ class Softmax:
         z = np.clip((x - self.mean) / self.scale, -8, 8)
         return np.concatenate([z, np.ones((len(z), 1))], axis=1)
 
+    def copy(self) -> Softmax:
+        """The same model, to be fitted on; of two classes."""
+        out = Softmax(self.classes, self.penalty)
+        out.mean, out.scale, out.weights = self.mean, self.scale, self.weights.copy()
+        return out
+
+    def slope(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Gradient of the log loss, summed over rows, in the weights of the log odds of two classes."""
+        z = self._columns(x)
+        return z.T @ (softmax(z @ self.weights)[:, 1] - y)
+
+    def newton(self, x: np.ndarray, y: np.ndarray, slope: np.ndarray, weight: float) -> None:
+        """One step on rows and on the gradient ``slope`` of others that weigh ``weight``; these rows give the curvature."""
+        z = self._columns(x)
+        p = softmax(z @ self.weights)[:, 1]
+        odds = self.weights[:, 1] - self.weights[:, 0]
+        total = len(z) + weight
+        bend = (z.T * np.maximum(p * (1 - p), 0.05)) @ z / len(z) + self.penalty / 2 * np.eye(len(odds))
+        step = np.linalg.solve(bend, (z.T @ (p - y) + slope) / total + self.penalty / 2 * odds)
+        self.weights = np.stack([step - odds, odds - step], axis=1) / 2
+
     def scores(self, x: np.ndarray) -> np.ndarray:
         return self._columns(x) @ self.weights
 

@@ -428,6 +428,18 @@ def test_cotraining_on_held_out_labels(spark):
     assert np.mean(clean) > 0.97 and np.mean(bad) < 0.25
 
 
+def test_cotraining_sees_every_document_without_a_label(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "quality", "toxic")
+    free = docs.join(labels.where("quality IS NOT NULL"), "doc_id", "left_anti").count()
+    model = cotraining.train(docs, labels)
+    assert model.seen == free > 6000 and model.given.sum(axis=1).max() > 800 and model.given.sum(axis=1).min() > 0
+    # null labels take no document out, and rows without an id are there
+    nulls = docs.select("doc_id", F.lit(None).cast("long").alias("quality"), F.lit(None).cast("long").alias("toxic"))
+    more = docs.unionByName(docs.limit(7).withColumn("doc_id", F.lit(None).cast("long")))
+    assert cotraining.train(more, labels.unionByName(nulls)).seen == free + 7
+
+
 def test_upper_case_is_counted_over_the_whole_text():
     for text in ("a" * 5000 + "B" * 5000, "İ" + "A" * 99 + "b" * 100, "éÉ😀Σ" * 3000, "", "a b"):
         share = views.page_view(text, None, None)[2 * views.SLOTS + 4]
