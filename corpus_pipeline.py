@@ -15,11 +15,19 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one whose id is the group's."""
-    groups = setsketch.near_duplicates(docs, words=5, percent=80)
-    kept = groups.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    one = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi")
-    return one.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
+    """One row of each group: the one with the smallest id, and of its texts under that id the one with the smallest hash.
+
+    Rows are judged by id and text together, so different texts under one id, or without an id, stay or go each for
+    itself; a null id comes last. Rows with the same id and text are one. Texts without words are in no group.
+    """
+    key = F.xxhash64("doc_id", F.col("text").cast("string"))
+    rows = docs.withColumn("__key", key)
+    groups = setsketch.near_duplicates(rows.select("__key", "text"), words=5, percent=80, id_col="__key")
+    group_of = groups.select(F.col("doc_id").alias("__key"), "component_id").distinct()
+    order = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__key")).alias("first")
+    ids = rows.select("__key", "doc_id").distinct()
+    kept = group_of.join(ids, "__key").groupBy("component_id").agg(order).select(F.col("first.__key").alias("__key"))
+    return rows.join(kept, "__key", "left_semi").dropDuplicates(["__key"]).select(docs.columns)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

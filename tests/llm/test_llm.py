@@ -497,6 +497,22 @@ def test_pipeline_runs_and_keeps_its_promises(spark):
     assert {r.doc_id for r in out.select("doc_id").collect()} == kept
 
 
+def test_near_dedup_judges_rows_by_id_and_text(spark):
+    import corpus_pipeline
+
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcde")
+    rows = [(3, a), (5, a), (5, b), (6, c), (6, d), (6, d), (None, c), (None, e), (None, e + " more"), (7, ""), (8, None)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string")
+    one = corpus_pipeline.near_dedup(spark, docs, SMALL)
+    assert one.columns == docs.columns
+    found = [(r.doc_id, r.text) for r in one.collect()]
+    of_e = [r for r in found if r[0] is None]
+    assert len(of_e) == 1 and of_e[0][1] in (e, e + " more")
+    assert sorted((i, t or "") for i, t in found if i is not None) == [(3, a), (5, b), (6, c), (6, d), (7, ""), (8, "")]
+    again = corpus_pipeline.near_dedup(spark, docs.repartition(3, "text"), SMALL).collect()
+    assert {(r.doc_id, r.text) for r in again} == set(found)
+
+
 def test_every_operator_is_registered():
     numbers = sorted(int(re.match(r"op(\d+)_", name)[1]) for name in queries.QUERIES)
     assert numbers == list(range(1, 11))
