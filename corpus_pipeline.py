@@ -36,8 +36,11 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated so that the domains come nearer to their target weights; none is lost."""
-    return mixing.mixed(docs, read_table(spark, sf_dir, "labels"))
+    """Documents repeated so that languages reach their target shares; none is lost.
+
+    Earlier stages don't take languages out, as they do with poor and toxic documents, which must not be raised here.
+    """
+    return mixing.mixed_languages(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

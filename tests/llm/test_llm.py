@@ -470,6 +470,22 @@ def test_mixing_meets_its_targets(spark):
     assert raised.select("doc_id").distinct().count() == docs.count() and raised.columns == docs.columns
 
 
+def test_mixing_stage_reaches_its_shares_of_languages(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    docs = docs.where("lang IS NOT NULL").withColumn("n", F.size(F.split("text", r"\s+")))
+    tokens = lambda df: {r.lang: r.n for r in df.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    out = corpus_pipeline.mix(spark, docs, SMALL)
+    before, after = tokens(docs), tokens(out)
+    wanted = mixing.flattened(np.array(list(before.values()), float))
+    for (lang, n), share in zip(before.items(), wanted / wanted.sum(), strict=True):
+        print("share", lang, n / sum(before.values()), share, after[lang] / sum(after.values()))
+        assert after[lang] >= n and abs(after[lang] / sum(after.values()) - share) < 0.02
+    assert out.columns == docs.columns and out.select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+    assert out.count() > docs.count()
+
+
 def test_mixing_steps_equal_plain_gradient_descent(spark):
     rng = np.random.default_rng(6)
     share, tokens = rng.dirichlet([1, 1, 1], 50), rng.integers(1, 100, 50)
