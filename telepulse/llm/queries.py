@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from telepulse.llm import bpe, chat, context_tree, cotraining, fingerprints, mixing, partition_index, pii, setsketch, token_counts
+from telepulse.llm import (
+    bpe,
+    chat,
+    collocations,
+    context_tree,
+    cotraining,
+    cross_polytope,
+    fingerprints,
+    mixing,
+    partition_index,
+    pii,
+    repair,
+    setsketch,
+    token_counts,
+)
 from telepulse.llm.tables import read_table
 
 
@@ -50,6 +64,18 @@ def op10_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cotraining.score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op11_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_polytope.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_digests(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_context_tree": op1_context_tree,
     "op2_token_counts": op2_token_counts,
@@ -61,9 +87,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_fingerprints": op9_fingerprints,
     "op10_cotraining": op10_cotraining,
+    "op11_near_vectors": op11_near_vectors,
+    "op12_collocations": op12_collocations,
+    "op13_repair": op13_repair,
 }
 
 ORACLES: dict[str, str] = {
     "op6_chat": chat.chat_sql(),
     "op8_near_duplicates": setsketch.near_duplicates_sql(),
+    "op11_near_vectors": cross_polytope.near_vectors_sql(),
+    "op12_collocations": collocations.collocations_sql(),
 }
