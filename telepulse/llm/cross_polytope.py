@@ -70,9 +70,14 @@ def _signs(table: int, hash_no: int, width: int) -> np.ndarray:
     return np.random.default_rng([table, hash_no, width]).choice([-1.0, 1.0], (ROTATIONS, width))
 
 
+def _width(dims: int) -> int:
+    """A power of two that holds the vectors; how likely near vectors meet depends on it, so it is 64 at least."""
+    return max(64, 1 << (dims - 1).bit_length())
+
+
 def buckets(unit: np.ndarray, table: int, hashes: int) -> np.ndarray:
     """Per row the codes of its bucket (first) and of the next likeliest ones, one column each."""
-    width = max(4, 1 << (unit.shape[1] - 1).bit_length())
+    width = _width(unit.shape[1])
     wide = np.zeros((len(unit), width))
     wide[:, : unit.shape[1]] = unit
     axes, gaps = [], []
@@ -287,7 +292,7 @@ def near_vectors(
         "vector-nodes",
     )
     sizes = nodes.agg(F.count("*").alias("n"), F.min("dims").alias("dims")).first()
-    axes = 2 * max(4, 1 << ((sizes.dims or 1) - 1).bit_length())
+    axes = 2 * _width(sizes.dims or 1)
     hashes = min(MOST_HASHES, max(1, math.ceil(math.log(PROBES * max(sizes.n, 1)) / math.log(axes))))
 
     keys = _keys(nodes, hashes)

@@ -97,4 +97,5 @@ ORACLES: dict[str, str] = {
     "op8_near_duplicates": setsketch.near_duplicates_sql(),
     "op11_near_vectors": cross_polytope.near_vectors_sql(),
     "op12_collocations": collocations.collocations_sql(),
+    "op13_repair": repair.repair_sql(),
 }

@@ -53,7 +53,6 @@ ROLES = {USER: "user", ASSISTANT: "assistant"}
 ENDING = (0, 4, 2, 0)  # cost of the turns that must be inserted at the end
 NEVER = 1 << 40
 INITIALS = ("", "s", "u", "a")  # of a row's code: initial + 4 (must go) + 8 (truncated)
-DROPPED = 16
 LEGAL = {("s", "u"), ("u", "a"), ("a", "u")}
 
 
@@ -434,3 +433,72 @@ def repair_digests(conversations: DataFrame) -> DataFrame:
 
     numbers = ", ".join(f"{f.name} {'string' if f.type == pa.string() else 'bigint'}" for f in DIGESTS)
     return _in_order(repaired, F.col("block")).mapInArrow(run, numbers)
+
+
+def repair_sql() -> str:
+    """The same rows in SQL: forward over the rows of a conversation, the best edits to each place so far."""
+
+    def edit(state: str, cost: str, letter: str, line: str | None = None) -> str:
+        lines = f"list_append(({state}).t, {line})" if line else f"({state}).t"
+        return f"CASE WHEN {state} IS NOT NULL THEN {{'c': ({state}).c + {cost}, 'a': ({state}).a || '{letter}', 't': {lines}}} END"
+
+    def least(*found: str) -> str:
+        return f"list_min([{', '.join(found)}])"
+
+    def kept(state: str, initial: str) -> str:
+        return f"CASE WHEN NOT forced AND initial = '{initial}' THEN {edit(state, 'extra', 'K', 'role || chr(58) || text')} END"
+
+    def given(state: str, role: str) -> str:
+        return f"CASE WHEN NOT forced THEN {edit(state, '2 + extra', 'R', f"'{role}:' || text")} END"
+
+    user = least("u", *(edit(s, "2", "I", "'user:'") for s in ("n", "s", "a")))
+    assistant = least("a", edit("u2", "2", "I", "'assistant:'"))
+
+    def filled(rows: str) -> str:
+        return f"SELECT *, {assistant} AS a2 FROM (SELECT *, {user} AS u2 FROM ({rows}))"
+
+    none = "CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, t VARCHAR[]))"
+    return rf"""
+WITH RECURSIVE hashed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(list_reduce(
+    list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda ch: ascii(ch)::BIGINT),
+    lambda crc, ch: list_reduce([0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(crc, ch)),
+    4294967295), 4294967295) % 20 AS fault FROM conversations
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+    CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM hashed, range(CASE fault WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END) copies(k)
+), marked AS (
+  SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS again,
+    NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS cut_off
+  FROM damaged
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, again) AS i FROM marked
+), r AS (
+  SELECT conv_id, i, turn, role, text, substr(role, 1, 1) AS initial, blank, NOT blank AND again AS duplicate,
+    NOT blank AND NOT again AND cut_off AS truncated, blank OR again AS forced,
+    CAST(NOT blank AND NOT again AND cut_off AS INTEGER) AS extra,
+    lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS earlier
+  FROM placed
+), counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank) AS blank,
+    count_if(duplicate) AS duplicate, count_if(truncated) AS truncated,
+    count_if(i > 1 AND (earlier || initial) NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM r GROUP BY conv_id
+), ids AS (SELECT DISTINCT conv_id FROM conversations),
+walk AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, CAST({{'c': 0, 'a': '', 't': []}} AS STRUCT(c BIGINT, a VARCHAR, t VARCHAR[])) AS n,
+    {none} AS s, {none} AS u, {none} AS a FROM ids
+  UNION ALL
+  SELECT conv_id, i, {edit("n", "3", "D")} AS n, {least(edit("s", "3", "D"), kept("n", "s"))} AS s,
+    {least(edit("u2", "3", "D"), *(kept(x, "u") for x in ("n", "s", "a2")), *(given(x, "user") for x in ("n", "s", "a2")))} AS u,
+    {least(edit("a2", "3", "D"), kept("u2", "a"), given("u2", "assistant"))} AS a
+  FROM ({filled("SELECT r.*, w.n, w.s, w.u, w.a FROM walk w JOIN r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.i = w.i + 1")})
+), best AS (
+  SELECT conv_id, {least("n", "a2")} AS b FROM ({filled("SELECT walk.* FROM walk LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM walk.conv_id WHERE walk.i = coalesce(c.n, 0)")})
+)
+SELECT best.conv_id, {", ".join(f"CAST(coalesce({c}, 0) AS BIGINT) AS {c}" for c in ("gaps", "blank", "duplicate", "truncated", "illegal"))},
+  b.c AS cost, b.a AS audit,
+  sha256(array_to_string(b.t, chr(10))) AS repaired_sha256
+FROM best LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM best.conv_id"""
