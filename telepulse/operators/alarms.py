@@ -1,27 +1,38 @@
 """Threshold alarms on metric series.
 
-Metric rows are aggregated to one value per alarm and period in one shuffle;
-everything after works on that: its size is alarms times periods of the time
-span, whatever the number of metric rows.
+Metric rows are aggregated to one value per alarm and period in one shuffle.
+Everything after works on runs: a period with data, each of the first missing
+ones behind it that an alarm still looks back over, and all further missing ones
+as one row with their number. So a gap costs as many rows as the rule has
+periods, however long it is.
+
+``alarm_runs`` can carry on: given the last runs of an earlier evaluation it
+reads the metric rows of new periods only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from telepulse.functions.calendar import AsOf, moment_literal
-from telepulse.functions.numeric import round_half_up
+from telepulse.functions.calendar import AsOf, moment_literal, utc_moment
+from telepulse.functions.numeric import exact_mean, exact_sum, round_half_up
 from telepulse.functions.text import dimension_key
 from telepulse.schema import FLEET_NAMESPACE, QUALITY_NAMESPACE, SERVICE_NAMESPACE
 
 NOT_BREACHING = "notBreaching"
 MISSING = "missing"
 
-_STATISTICS = {"Sum": F.sum, "Average": F.avg, "Maximum": F.max, "Minimum": F.min}
+_STATISTICS = {
+    "Sum": lambda name: exact_sum(name).cast("double"),
+    "Average": exact_mean,
+    "Maximum": F.max,
+    "Minimum": F.min,
+}
 
 
 @dataclass(frozen=True)
@@ -197,11 +208,11 @@ def alarm_values(metrics: DataFrame, rules: Sequence[AlarmRule]) -> DataFrame:
     return stats.select("alarm", "period_seconds", "period_start", value.alias("value"))
 
 
-def _with_missing_periods(values: DataFrame, end: AsOf) -> DataFrame:
-    """Fill each alarm's gaps with NULL values.
+def _with_gaps(values: DataFrame, rules: Sequence[AlarmRule], end: AsOf) -> DataFrame:
+    """Add ``length`` (1) and the gaps behind each present period, up to the next one or to the period of ``end``.
 
-    A present period emits itself and the empty ones up to the next present
-    one, or up to ``end``; no second copy of the series is joined.
+    Of a gap the first N-1 periods are rows of their own, as an alarm of N periods still sees data before them; the
+    rest is one row of its length.
     """
     step = F.col("period_seconds")
     following = F.lead("period_start").over(Window.partitionBy("alarm").orderBy("period_start"))
@@ -209,36 +220,67 @@ def _with_missing_periods(values: DataFrame, end: AsOf) -> DataFrame:
     if end is not None:
         final = F.unix_seconds(moment_literal(end).cast("timestamp"))
         last = F.greatest(last, final - F.pmod(final, step))
-    stop = F.coalesce(following - step, last)
+    missing = ((F.coalesce(following - step, last) - F.col("period_start")) / step).cast("bigint")
+    single = F.least(F.col("missing"), F.col("periods").cast("bigint") - 1)
+    place = F.explode(F.sequence(F.lit(0).cast("bigint"), single + (F.col("missing") > single).cast("bigint")))
+    periods = _rule_named(rules, F.col("alarm"))["periods"]
     return (
-        values.withColumn("stop", stop)
-        .withColumn("period", F.explode(F.sequence("period_start", "stop", step)))
+        values.withColumns({"missing": missing, "periods": periods})
+        .withColumn("place", place)
         .select(
             "alarm",
-            F.col("period").alias("period_start"),
-            F.when(F.col("period") == F.col("period_start"), F.col("value")).alias("value"),
+            (F.col("period_start") + F.col("place") * step).alias("period_start"),
+            F.when(F.col("place") <= single, F.lit(1).cast("bigint")).otherwise(F.col("missing") - single).alias("length"),
+            F.when(F.col("place") == 0, F.col("value")).alias("value"),
         )
     )
 
 
-def evaluate_alarms(
-    metrics: DataFrame, rules: Sequence[AlarmRule], *, end: AsOf = None
+RUN_COLUMNS = ["alarm", "period_start", "length", "value", "breach", "breaching_periods", "state"]
+CARRIED_DDL = "alarm string, period_start timestamp_ntz, length bigint, value double, state string"
+
+
+def alarm_runs(
+    metrics: DataFrame, rules: Sequence[AlarmRule], *, end: AsOf = None, carried: DataFrame | None = None, until: AsOf = None
 ) -> DataFrame:
-    """State of each alarm in each period since its first metric row.
+    """Runs of periods with their state since each alarm's first metric row: ``length`` periods from ``period_start``.
 
     ALARM needs N breaching periods in a row, so never comes in the first N-1.
     A missing period does not breach; where the rule does not say so and all N
     periods are missing, the state is INSUFFICIENT_DATA. Else it is OK.
+
+    ``until`` leaves periods that are not over by then to a later call, which takes what ``carried_runs`` kept of this
+    one as ``carried``, and returns new periods only.
     """
-    values = _with_missing_periods(alarm_values(metrics, rules), end)
+    if until is not None:
+        metrics = metrics.where(F.col("ts") < moment_literal(until))
+    values = alarm_values(metrics, rules)
     rule = _rule_named(rules, F.col("alarm"))
-    series = values.withColumn("rule", rule).select("period_start", "value", "rule.*")
+    if until is not None:
+        bound = int(utc_moment(until).replace(tzinfo=timezone.utc).timestamp())
+        values = values.where(F.col("period_start") + F.col("period_seconds") <= bound)
+    if carried is not None:
+        before = carried.select(
+            "alarm",
+            rule["period_seconds"].alias("period_seconds"),
+            F.unix_seconds(F.col("period_start").cast("timestamp")).alias("period_start"),
+            "length",
+            "value",
+        )
+        # a carried run of missing periods stands at its last one: what is before it is not looked at again
+        before = before.withColumn("period_start", F.col("period_start") + (F.col("length") - 1) * F.col("period_seconds"))
+        marks = F.broadcast(before.groupBy("alarm").agg(F.max("period_start").alias("seen")))  # a row an alarm
+        new = F.col("seen").isNull() | (F.col("period_start") > F.col("seen"))
+        values = values.join(marks, "alarm", "left").where(new).drop("seen").unionByName(before.drop("length"))
+    runs = _with_gaps(values, rules, end)
+    series = runs.withColumn("rule", rule).select("period_start", "length", "value", "rule.*")
     above = F.col("value") > F.col("threshold")
     at_or_above = F.col("value") >= F.col("threshold")
     breach = F.coalesce(F.when(F.col("comparison") == ">=", at_or_above).otherwise(above), F.lit(False))
     widest = max(rule.periods for rule in rules)
     by_alarm = Window.partitionBy("alarm").orderBy("period_start")
-    # The frame of the longest rule, cut to each rule's own length.
+    # The frame of the longest rule, cut to each rule's own length. Behind a run of missing periods a frame is as if
+    # it were one period: those before it are missing as well.
     history = F.collect_list(
         F.struct(F.col("breach"), F.col("value").isNotNull().alias("present"))
     ).over(by_alarm.rowsBetween(1 - widest, 0))
@@ -252,13 +294,14 @@ def evaluate_alarms(
         .when((F.col("missing") == MISSING) & ~has_data, "INSUFFICIENT_DATA")
         .otherwise("OK")
     )
-    return (
+    found = (
         series.withColumn("breach", breach)
         .withColumn("history", history)
         .withColumn("recent", recent)
         .select(
             "alarm",
-            F.timestamp_seconds("period_start").cast("timestamp_ntz").alias("period_start"),
+            "period_start",
+            "length",
             "value",
             "breach",
             breaching.alias("breaching_periods"),
@@ -274,6 +317,47 @@ def evaluate_alarms(
             "threshold",
         )
     )
+    if carried is not None:
+        found = found.join(marks, "alarm", "left").where(new).drop("seen")
+    return found.withColumn("period_start", F.timestamp_seconds("period_start").cast("timestamp_ntz"))
+
+
+def carried_runs(runs: DataFrame, carried: DataFrame | None = None) -> DataFrame:
+    """The last runs of each alarm that a later evaluation looks back on: as many as the rule has periods."""
+    kept = runs.select("alarm", "period_start", "length", "value", "state", "periods")
+    if carried is not None:
+        periods = runs.groupBy("alarm").agg(F.max("periods").alias("periods"))
+        kept = kept.unionByName(carried.join(F.broadcast(periods), "alarm", "left").withColumn("periods", F.coalesce("periods", F.lit(1 << 20))))
+    newest = Window.partitionBy("alarm").orderBy(F.desc("period_start"))
+    return kept.withColumn("place", F.row_number().over(newest)).where("place <= periods").drop("place", "periods")
+
+
+def look_back(carried: DataFrame, rules: Sequence[AlarmRule]) -> datetime | None:
+    """From when on metric rows are needed: the first period that some alarm has not seen. None for all of them.
+
+    ``carried`` holds a few rows an alarm, and alarms are listed in code.
+    """
+    seconds = {rule.name: rule.period_seconds for rule in rules}
+    ends: dict[str, datetime] = {}
+    for row in carried.collect():
+        if row.alarm in seconds:
+            end = row.period_start + timedelta(seconds=row.length * seconds[row.alarm])
+            ends[row.alarm] = max(end, ends.get(row.alarm, end))
+    return min(ends.values()) if len(ends) == len(seconds) else None
+
+
+def evaluate_alarms(
+    metrics: DataFrame, rules: Sequence[AlarmRule], *, end: AsOf = None
+) -> DataFrame:
+    """State of each alarm in each period: ``alarm_runs`` with a row for each period of a run."""
+    return alarm_periods(alarm_runs(metrics, rules, end=end))
+
+
+def alarm_periods(runs: DataFrame) -> DataFrame:
+    start, step = F.col("period_start"), F.make_dt_interval(secs=F.col("period_seconds"))
+    last = start + F.make_dt_interval(secs=(F.col("length") - 1) * F.col("period_seconds"))
+    each = F.explode(F.when(F.col("length") == 1, F.array(start)).otherwise(F.sequence(start, last, step)))
+    return runs.withColumn("period_start", each).drop("length")
 
 
 def consecutive_breach(metrics: DataFrame, rules: Sequence[AlarmRule], *, end: AsOf = None) -> DataFrame:
@@ -320,13 +404,18 @@ def _reason() -> Column:
     return F.concat(F.coalesce(crossing, F.lit("Insufficient data")), held)
 
 
-def alarm_transitions(states: DataFrame) -> DataFrame:
-    """Rows where an alarm changes its state; each alarm starts as OK.
+def alarm_transitions(states: DataFrame, carried: DataFrame | None = None) -> DataFrame:
+    """Rows (of periods or runs) where an alarm changes its state; each alarm starts as OK, or as it was carried.
 
     ``changed_at`` is the end of the period that settled the new state.
     """
     series = Window.partitionBy("alarm").orderBy("period_start")
-    before = F.coalesce(F.lag("state").over(series), F.lit("OK"))
+    first = F.lit("OK")
+    if carried is not None:
+        last = carried.groupBy("alarm").agg(F.max_by("state", "period_start").alias("carried_state"))
+        states = states.join(F.broadcast(last), "alarm", "left")
+        first = F.coalesce("carried_state", first)
+    before = F.coalesce(F.lag("state").over(series), first)
     changes = states.withColumn("old_state", before).filter(F.col("state") != F.col("old_state"))
     return changes.select(
         "alarm",

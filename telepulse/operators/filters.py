@@ -96,24 +96,36 @@ def latest_per_device_day(df: DataFrame) -> DataFrame:
     return df.withColumn("rn", F.row_number().over(newest)).filter("rn = 1").drop("rn")
 
 
-# Conditions that the views count.
+# Conditions that the views count, as the text that views in the catalog are made of.
+ERROR = "status = 'ERROR'"
+STOPPED = "speed_mps = 0"
+STALLED = f"{STOPPED} AND status = 'ACTIVE'"
+
+
+def low_battery_sql(limit: float = LOW_BATTERY_PCT) -> str:
+    return f"battery_level < {limit!r}"
+
+
+def hot_sql(limit: float = HIGH_TEMPERATURE) -> str:
+    # Spark orders NaN above every number.
+    return f"temperature_celsius > {limit!r} AND NOT isnan(temperature_celsius)"
+
+
 def is_error() -> Column:
-    return F.col("status") == "ERROR"
+    return F.expr(ERROR)
 
 
 def is_low_battery(limit: float = LOW_BATTERY_PCT) -> Column:
-    return F.col("battery_level") < limit
+    return F.expr(low_battery_sql(limit))
 
 
 def is_stopped() -> Column:
-    return F.col("speed_mps") == 0
+    return F.expr(STOPPED)
 
 
 def is_stalled() -> Column:
-    return is_stopped() & (F.col("status") == "ACTIVE")
+    return F.expr(STALLED)
 
 
 def is_hot(limit: float = HIGH_TEMPERATURE) -> Column:
-    # Spark orders NaN above every number.
-    temperature = F.col("temperature_celsius")
-    return (temperature > limit) & ~F.isnan(temperature)
+    return F.expr(hot_sql(limit))

@@ -25,8 +25,14 @@ _CHECKS = [
 UNREADABLE = "Failed to parse telemetry data"
 
 def _is_one_value(text: Column) -> Column:
-    """Whether a text is one JSON value and nothing else; the parser alone stops behind the first."""
-    return F.coalesce(F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1, F.lit(False))
+    """Whether a text is one JSON value and nothing else; the parser alone stops behind the first.
+
+    As the content of an array it makes one element, and two with another behind it. A text that closes the array
+    itself, with whatever follows, makes as many both times.
+    """
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]")))
+    followed = F.json_array_length(F.concat(F.lit("["), text, F.lit(",0]")))
+    return F.coalesce((alone == 1) & (followed == 2), F.lit(False))
 
 
 # Quoted numbers and NaN are no JSON numbers.

@@ -9,11 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from telepulse.functions.calendar import AsOf, moment_literal, utc_moment
-from telepulse.functions.numeric import mean, percentage, round_half_up
+from telepulse.functions.calendar import AsOf, in_day_partition, moment_literal, utc_moment, with_partition_columns
+from telepulse.functions.numeric import percentage, rounded_mean
 from telepulse.operators.filters import on_day
-from telepulse.operators.health import device_measures, device_sums
-from telepulse.schema import FLEET_NAMESPACE, LOW_BATTERY_PCT
+from telepulse.operators.health import device_measures, device_sums, measures_of_sums, merged_sums
+from telepulse.schema import FLEET_NAMESPACE, LOW_BATTERY_PCT, PARTITION_COLUMNS
 
 ALL_FLEETS = "ALL"
 
@@ -49,8 +49,8 @@ def _kpis(measures: DataFrame, keys: list[str], low_battery: float = LOW_BATTERY
         F.sum("errors").alias("total_error_events"),
         F.count_if(known & (F.col("errors") > 0)).alias("error_device_count"),
         F.count_if(known & (F.col("battery_min") < low_battery)).alias("critical_battery_count"),
-        round_half_up(mean(F.sum("battery_sum").cast("double"), F.sum("battery_count")), 1).alias("fleet_avg_battery"),
-        round_half_up(mean(F.sum("temperature_sum").cast("double"), F.sum("temperature_count")), 1).alias(
+        rounded_mean(F.sum("battery_sum"), F.sum("battery_count"), 1).alias("fleet_avg_battery"),
+        rounded_mean(F.sum("temperature_sum"), F.sum("temperature_count"), 1).alias(
             "fleet_avg_temp"
         ),
         percentage(F.sum("errors"), F.sum("sessions")).alias("fleet_error_rate_pct"),
@@ -62,6 +62,27 @@ def fleet_kpis(df: DataFrame, *, as_of: AsOf = None, low_battery: float = LOW_BA
     return _kpis(device_measures(on_day(df, as_of=as_of), []), [], low_battery)
 
 
+PARTIAL_KEYS = [*PARTITION_COLUMNS, "period_start", "fleet_id", "device_id"]
+
+
+def kpi_partials(df: DataFrame, *, period: str = "5 minutes") -> DataFrame:
+    """Sums that KPIs can be folded from, per day, period, fleet and device; those of several batches add up."""
+    start = F.window(F.col("event_time").cast("timestamp_ntz"), period)["start"]
+    rows = with_partition_columns(df).where("event_time IS NOT NULL").withColumn("period_start", start.cast("timestamp_ntz"))
+    return device_sums(rows, PARTIAL_KEYS)
+
+
+def add_up(partials: DataFrame) -> DataFrame:
+    return merged_sums(partials, PARTIAL_KEYS)
+
+
+def kpis_of_partials(partials: DataFrame, *, as_of: AsOf = None, low_battery: float = LOW_BATTERY_PCT) -> DataFrame:
+    """``fleet_kpis`` of the UTC day of ``as_of``, of the periods that have begun by then."""
+    moment = utc_moment(as_of)
+    begun = partials.where(in_day_partition(moment) & (F.col("period_start") <= moment_literal(moment)))
+    return _kpis(measures_of_sums(merged_sums(begun, ["fleet_id", "device_id"]), []), [], low_battery)
+
+
 def fleet_kpis_by_fleet(
     df: DataFrame, *, as_of: AsOf = None, low_battery: float = LOW_BATTERY_PCT
 ) -> DataFrame:
@@ -89,7 +110,7 @@ def kpi_history(df: DataFrame, *, period: str = "1 day", low_battery: float = LO
     total = lambda c: F.sum(c).over(so_far)
 
     def published(name: str) -> Column:
-        average = round_half_up(mean(total(f"{name}_sum"), total(f"{name}_count")), 1)
+        average = rounded_mean(total(f"{name}_sum"), total(f"{name}_count"), 1)
         return average.cast("decimal(20,1)")
 
     states = sums.select(
@@ -150,8 +171,8 @@ def kpi_history(df: DataFrame, *, period: str = "1 day", low_battery: float = LO
         F.sum("errors").over(of_day).alias("total_error_events"),
         running("failed").alias("error_device_count"),
         running("low").alias("critical_battery_count"),
-        round_half_up(mean(running("battery_d").cast("double"), running("battery_n")), 1).alias("fleet_avg_battery"),
-        round_half_up(mean(running("temperature_d").cast("double"), running("temperature_n")), 1).alias("fleet_avg_temp"),
+        rounded_mean(running("battery_d"), running("battery_n"), 1).alias("fleet_avg_battery"),
+        rounded_mean(running("temperature_d"), running("temperature_n"), 1).alias("fleet_avg_temp"),
         percentage(running("errors"), running("events")).alias("fleet_error_rate_pct"),
     )
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telepulse.functions.calendar import AsOf
-from telepulse.functions.numeric import round_half_up
+from telepulse.functions.numeric import exact_mean, exact_rounded_mean, round_half_up
 from telepulse.operators import filters
 from telepulse.operators.filters import has_status, in_month, on_whole_day
 
@@ -44,7 +44,7 @@ def temperature_statistics(df: DataFrame, *, year: int, month: int, precision: i
         in_month(df, year=year, month=month)
         .groupBy("device_id", "fleet_id")
         .agg(
-            _report_decimal(F.avg(temperature), precision).alias("avg_temp"),
+            exact_rounded_mean(temperature, 2).cast(f"decimal({precision},2)").alias("avg_temp"),
             _report_decimal(F.min(temperature), precision).alias("min_temp"),
             _report_decimal(F.max(temperature), precision).alias("max_temp"),
             F.count("*").alias("measurement_count"),
@@ -58,8 +58,8 @@ def speed_and_battery_analysis(df: DataFrame, *, year: int, month: int, rows: in
         in_month(df, year=year, month=month)
         .groupBy("device_id", "status")
         .agg(
-            _report_decimal(F.avg("speed_mps"), 5).alias("avg_speed"),
-            _report_decimal(F.avg("battery_level"), 5).alias("avg_battery"),
+            exact_rounded_mean("speed_mps", 2).cast("decimal(5,2)").alias("avg_speed"),
+            exact_rounded_mean("battery_level", 2).cast("decimal(5,2)").alias("avg_battery"),
             F.count("*").alias("readings"),
         )
         .orderBy(F.desc_nulls_last("avg_battery"), "device_id", "status")
@@ -83,7 +83,7 @@ def avg_temp_by_device(df: DataFrame) -> DataFrame:
     return (
         df.groupBy("device_id")
         .agg(
-            F.avg(temperature).alias("avg_temp"),
+            exact_mean(temperature).alias("avg_temp"),
             F.min(temperature).alias("min_temp"),
             F.max(temperature).alias("max_temp"),
         )
@@ -93,7 +93,7 @@ def avg_temp_by_device(df: DataFrame) -> DataFrame:
 
 def device_avg_month(df: DataFrame, *, year: int, month: int) -> DataFrame:
     monthly = in_month(df, year=year, month=month)
-    return monthly.groupBy("device_id").agg(F.avg("temperature_celsius").alias("avg_temp"))
+    return monthly.groupBy("device_id").agg(exact_mean("temperature_celsius").alias("avg_temp"))
 
 
 def battery_timeline(df: DataFrame, *, day: AsOf) -> DataFrame:

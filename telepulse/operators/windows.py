@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from telepulse.functions.calendar import AsOf
-from telepulse.functions.numeric import round_half_up
+from telepulse.functions.numeric import exact_mean, round_half_up
 from telepulse.operators.filters import drop_outliers, in_previous_hour
 from telepulse.schema import OUTLIER_MAX_TEMPERATURE, OUTLIER_MIN_TEMPERATURE, WINDOW_LENGTH
 
@@ -32,7 +32,7 @@ def window_stats(
     aggregates = [F.count("*").alias("record_count")]
     for name in measures:
         aggregates += [
-            F.avg(name).alias(f"{name}_avg"),
+            exact_mean(name).alias(f"{name}_avg"),
             F.min(name).alias(f"{name}_min"),
             F.max(name).alias(f"{name}_max"),
         ]

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from telepulse.functions import numeric
 from telepulse.functions.calendar import display_time, moment_literal, with_partition_columns
 from telepulse.operators import alarms, filters, health, ingest, kpi, notify, quality, reports, windows
-from telepulse.schema import QUALITY_NAMESPACE, RESULT_RETENTION_DAYS, TELEMETRY_COLUMNS
+from telepulse.schema import PARTITION_COLUMNS, QUALITY_NAMESPACE, RESULT_RETENTION_DAYS, TELEMETRY_COLUMNS
 from telepulse.session import pin_utc, shared_folder
 from telepulse.sources import events as adapters
 from telepulse.sources import files, tables
@@ -27,6 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Moments the as-of queries ask for; the tables span January 2024.
 KPI_AS_OF = "2024-01-29 23:59:59"
+KPI_DAY_END = "2024-01-29 23:59:59.999999"
 QUALITY_AS_OF = "2024-01-30 06:00:00"
 HOUR_AS_OF = "2024-01-20 15:20:00"
 NO_DATA_AS_OF = "2024-02-05 00:00:00"
@@ -84,34 +85,80 @@ def _run_folder(spark: SparkSession, name: str) -> tuple[str, str]:
 
 
 # --- sources, sinks, catalog ---------------------------------------------------
-def _telemetry_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CSV lines with their paths, a header line for each day's file."""
-    lines = ingest.format_csv_row(telemetry(spark, sf_dir))
-    path = F.concat(
-        F.lit("lake/telemetry/year="), "year", F.lit("/month="), "month", F.lit("/day="), "day", F.lit("/f.csv")
-    )
-    body = lines.select(F.col("line").alias("value"), path.alias("path"))
-    header = body.select("path").distinct().select(
-        F.lit(",".join(TELEMETRY_COLUMNS)).alias("value"), "path"
-    )
-    return body.union(header)
+DAY = PARTITION_COLUMNS
+
+
+def _write_lines(lines: DataFrame, folder: str, *keys: str) -> None:
+    """Write column ``value`` as compressed text under folders of the keys, a file each."""
+    files_of = lines.select("value", *keys).repartition(*keys).write.mode("append").partitionBy(*keys)
+    files_of.option("compression", "gzip").text(folder)
+
+
+def _telemetry_lines(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
+    """CSV lines with their day, and a header line for each day's file."""
+    lines = ingest.format_csv_row(adapters.telemetry_from_events(events(spark, sf_dir), keep=("event_id",)))
+    return lines.withColumnRenamed("line", "value").select("value", *DAY, *keep)
+
+
+def _header(lines: DataFrame, *keys: str) -> DataFrame:
+    return lines.select(F.lit(",".join(TELEMETRY_COLUMNS)).alias("value"), *keys).distinct()
 
 
 @_register
 def read_telemetry_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _without_time_zone(files.parse_telemetry_lines(_telemetry_lines(spark, sf_dir)), "event_time")
+    """The table as it reads back from CSV files with header lines."""
+    folder, _ = _run_folder(spark, "read_telemetry_csv")
+    lines = _telemetry_lines(spark, sf_dir)
+    _write_lines(lines.union(_header(lines, *DAY)), folder, *DAY)
+    return _without_time_zone(files.read_telemetry_csv(spark, folder), "event_time")
+
+
+@_register
+def read_mixed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where every second event lies in a folder of its hour."""
+    folder, _ = _run_folder(spark, "read_mixed_csv")
+    lines = _telemetry_lines(spark, sf_dir, "event_id", "event_time").withColumn("hour", F.date_format("event_time", "HH"))
+    _write_lines(lines.where("event_id % 2 = 0"), folder, *DAY)
+    deep = lines.where("event_id % 2 = 1")
+    deep = deep.select("value", *DAY, "hour").union(_header(deep, *DAY, "hour"))
+    _write_lines(deep, folder, *DAY, "hour")
+    return _without_time_zone(files.read_mixed_telemetry_csv(spark, folder), "event_time")
 
 
 @_register
 def tolerant_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines per day that are records, and that are none because every thirteenth ends early."""
-    rows = adapters.telemetry_from_events(events(spark, sf_dir), keep=("event_id",))
-    line = F.when(F.col("event_id") % 13 == 0, F.substring_index("line", ",", 4)).otherwise(F.col("line"))
-    path = F.concat_ws("/", "year", "month", "day")
-    lines = ingest.format_csv_row(rows).select(line.alias("value"), path.alias("path"))
-    skipped = files.skipped_lines(lines).groupBy("path").agg(F.count("*").alias("skipped"))
-    whole = lines.groupBy("path").agg(F.count("*").alias("lines"))
-    return whole.join(skipped, "path", "left").select("path", "lines", F.coalesce("skipped", F.lit(0)).alias("skipped"))
+    """Files and lines per day: the first and the last day's file is broken, and every thirteenth line ends early."""
+    folder, _ = _run_folder(spark, "tolerant_read")
+    lines = _telemetry_lines(spark, sf_dir, "event_id")
+    cut = F.when(F.col("event_id") % 13 == 0, F.substring_index("value", ",", 4)).otherwise(F.col("value"))
+    _write_lines(lines.withColumn("value", cut), folder, *DAY)
+    span = lines.agg(F.min(F.struct(*DAY)).alias("first"), F.max(F.struct(*DAY)).alias("last")).first()
+    for day in {tuple(span["first"]), tuple(span["last"])}:
+        place = "/".join(f"{name}={value}" for name, value in zip(DAY, day, strict=True))
+        for name in files.folders(spark, f"{folder}/{place}"):
+            files.write_bytes(spark, name, b"no archive")
+    read = files.read_lines(spark, folder)
+    bad = files.skipped_lines(read).groupBy("path").agg(F.count("*").alias("skipped"))
+    found = files.file_inventory(spark, folder, read).withColumnRenamed("skipped", "gone").join(bad, "path", "left")
+    parts = [F.regexp_extract("path", rf"/{name}=([^/]+)", 1) for name in DAY]
+    return found.groupBy(F.concat_ws("/", *parts).alias("path")).agg(
+        F.sum("lines").alias("lines"),
+        F.coalesce(F.sum("skipped"), F.lit(0)).alias("skipped"),
+        F.count("*").alias("files"),
+        F.count_if("gone").alias("skipped_files"),
+    )
+
+
+@_register
+def six_field_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly window job over files of the older six-field record."""
+    folder, _ = _run_folder(spark, "six_field_windows")
+    lines = _six_field_lines(spark, sf_dir).withColumn("part", F.col("event_id") % 3)
+    _write_lines(lines, folder, "part")
+    rows = files.read_six_field_csv(spark, folder)
+    stats = windows.previous_hour_stats(rows, as_of=HOUR_AS_OF, measures=windows.SIX_FIELD_MEASURES)
+    shown = _rounded(stats.drop("processed_at"), 2, *[f"{name}_avg" for name in windows.SIX_FIELD_MEASURES])
+    return _without_time_zone(shown, "window_start", "window_end")
 
 
 @_register
@@ -128,8 +175,7 @@ def repair_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 _on_telemetry("read_hour", lambda df: filters.in_previous_hour(df, as_of=HOUR_AS_OF))
 
 
-@_register
-def parse_csv_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _six_field_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six-field lines made of events; every ninth lacks a number, some end early."""
     number = F.col("event_id")
     fields = [
@@ -141,7 +187,12 @@ def parse_csv_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")
     line = F.when(number % 9 == 2, F.concat_ws(",", *fields)).otherwise(F.concat_ws(",", *fields, iso))
-    return files.parse_six_field_lines(events(spark, sf_dir).select(line.alias("value")))
+    return events(spark, sf_dir).select(line.alias("value"), "event_id")
+
+
+@_register
+def parse_csv_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return files.parse_six_field_lines(_six_field_lines(spark, sf_dir))
 
 
 _on_telemetry("empty_input", lambda df: windows.processing_report(df, as_of=NO_DATA_AS_OF))
@@ -179,19 +230,38 @@ def write_window_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _window_rows(spark.read.parquet(table).drop("year", "month", "day", "hour"))
 
 
+@_register
+def merge_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches with a row a device and millisecond: the first has every event twice, the second a third of them again."""
+    table, _ = _run_folder(spark, "merge_raw")
+    rows = adapters.telemetry_from_events(events(spark, sf_dir), keep=("event_id",))
+    first = rows.withColumn("version", F.lit(2)).union(rows.withColumn("version", F.lit(1)))
+    first = first.withColumn("status", F.when(F.col("version") == 2, F.col("status")).otherwise("STALE"))
+    tables.merge_raw(first, table, F.col("version"))
+    for _ in range(2):  # a batch that is written again changes nothing
+        tables.merge_raw(rows.where("event_id % 3 = 0").withColumn("status", F.lit("FINAL")), table)
+    return _without_time_zone(files.read_telemetry(spark, table), "event_time")
+
+
 @_register
 def append_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly KPI metrics as the metrics table gives them back."""
+    """Hourly KPI metrics, published twice, as the metrics table gives them back."""
     table, _ = _run_folder(spark, "append_metrics")
-    tables.append_metrics(_kpi_points(spark, sf_dir), table, run="history")
-    return _as_text(_without_time_zone(tables.read_metrics(spark, table), "ts"))
+    for _ in range(2):
+        tables.append_metrics(_kpi_points(spark, sf_dir), table)
+    return _as_text(_without_time_zone(tables.read_metrics(spark, table).drop("date"), "ts"))
 
 
 @_register
 def create_views(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The views answer SQL: devices in trouble on the days their fleet was."""
-    tables.create_views(spark, telemetry(spark, sf_dir))
-    return spark.sql(
+    """Views of the catalog, asked by another session: devices in trouble on the days their fleet was."""
+    table, _ = _run_folder(spark, "create_views")
+    spark.sql("DROP TABLE IF EXISTS viewed_telemetry")
+    tables.create_telemetry_table(spark, "viewed_telemetry", table)
+    tables.write_raw(telemetry(spark, sf_dir), table)
+    tables.repair_partitions(spark, "viewed_telemetry")
+    tables.create_views(spark, "viewed_telemetry")
+    return pin_utc(spark.newSession()).sql(
         "SELECT year, month, day, fleet_id, device_id, error_rate_pct, min_battery_pct "
         "FROM device_status_summary WHERE error_rate_pct > 50 AND min_battery_pct < 20"
     )
@@ -450,6 +520,31 @@ def evaluate_alarms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown_states(_states(_all_points(spark, sf_dir), *HOURLY_RULES))
 
 
+# Moments at which the alarms below are evaluated, each on what came since the one before.
+PORTIONS = ("2024-01-08 00:00:00", "2024-01-19 12:30:00", "2024-03-01 00:00:00")
+STORED_RULES = ("critical-battery-count", "fleet-error-rate", "data-freshness")
+
+
+@_register
+def alarms_carried_on(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alarms over the stored metrics in three runs; each reads new periods and what the one before kept."""
+    table, kept = _run_folder(spark, "alarms_carried_on")
+    tables.append_metrics(_kpi_points(spark, sf_dir).unionByName(_freshness_points(spark, sf_dir)), table)
+    rules = [HOURLY_RULES[name] for name in STORED_RULES]
+    states, carried = None, None
+    for number, until in enumerate(PORTIONS):
+        metrics = tables.read_metrics(spark, table)
+        since = alarms.look_back(carried, rules) if carried is not None else None
+        if since is not None:
+            metrics = metrics.where((F.col("date") >= f"{since:%Y-%m-%d}") & (F.col("ts") >= moment_literal(since)))
+        runs = alarms.alarm_runs(metrics, rules, carried=carried, until=until)
+        alarms.carried_runs(runs, carried).write.parquet(f"{kept}/{number}")
+        carried = spark.read.schema(alarms.CARRIED_DDL).parquet(f"{kept}/{number}")
+        new = alarms.alarm_periods(runs)
+        states = new if states is None else states.unionByName(new)
+    return _shown_states(states)
+
+
 @_register
 def consecutive_breach(spark: SparkSession, sf_dir: str) -> DataFrame:
     rule = HOURLY_RULES["fleet-error-rate"]
@@ -458,7 +553,7 @@ def consecutive_breach(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register
 def alarm_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alarms.alarm_transitions(_states(_all_points(spark, sf_dir), *HOURLY_RULES))
+    return alarms.alarm_transitions(alarms.alarm_runs(_all_points(spark, sf_dir), list(HOURLY_RULES.values())))
 
 
 @_register
@@ -523,52 +618,66 @@ def _finish(query) -> None:
     query.awaitTermination()
 
 
-@_register
-def stream_window_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table, checkpoint = _run_folder(spark, "stream_window_stats")
+def _streamed_windows(spark: SparkSession, sf_dir: str, name: str, copies: int) -> DataFrame:
+    table, checkpoint = _run_folder(spark, name)
     stream = adapters.telemetry_from_events(_event_stream(spark, sf_dir))
-    _finish(jobs.stream_window_stats(stream, table, checkpoint, trigger=jobs.ONCE))
-    rows = spark.read.parquet(table).drop("year", "month", "day")
+    stream = stream.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("copy")
+    options = {"deduplicate": copies > 1}
+    _finish(jobs.stream_window_stats(stream, table, checkpoint, trigger=jobs.ONCE, **options))
+    jobs.finish_windows(telemetry(spark, sf_dir), table, **options)
+    rows = spark.read.parquet(table).drop("year", "month", "day", "hour")
     return _window_rows(_without_time_zone(rows, "window_start", "window_end"))
 
 
 @_register
-def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table, checkpoint = _run_folder(spark, "stream_ingest")
+def stream_window_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All windows: those the stream has finished, and the youngest ones from the table."""
+    return _streamed_windows(spark, sf_dir, "stream_window_stats", 1)
+
+
+@_register
+def stream_deduplicated_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same where every event comes twice, by device and time."""
+    return _streamed_windows(spark, sf_dir, "stream_deduplicated_windows", 2)
+
+
+def _ingested(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, str]:
+    """Table and quarantine that one stream has written."""
+    table, checkpoint = _run_folder(spark, name)
     raw = adapters.raw_messages_from_events(_event_stream(spark, sf_dir))
-    # Without a time an event gets the time of its batch: dated here for the check.
-    _finish(jobs.stream_ingest(raw, table, checkpoint, trigger=jobs.ONCE))
-    rows = files.read_telemetry(spark, table)
-    default = F.col("event_time") > moment_literal(INGEST_AS_OF)
-    timed = rows.withColumn("event_time", F.when(~default, F.col("event_time").cast("timestamp_ntz")))
-    return timed.drop("year", "month", "day")
+    query = jobs.stream_ingest(raw, table, checkpoint, quarantine=f"{table}_rejects", as_of=INGEST_AS_OF, trigger=jobs.ONCE)
+    _finish(query)
+    return table, f"{table}_rejects"
+
+
+@_register
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table, _ = _ingested(spark, sf_dir, "stream_ingest")
+    return _without_time_zone(files.read_telemetry(spark, table), "event_time")
 
 
 @_register
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table, checkpoint = _run_folder(spark, "stream_rejects")
-    raw = adapters.raw_messages_from_events(_event_stream(spark, sf_dir))
-    _finish(jobs.stream_rejects(raw, table, checkpoint, trigger=jobs.ONCE))
-    return spark.read.parquet(table).groupBy("reject_reason").agg(F.count("*").alias("events"))
-
-
-def _stream_metrics(name: str, job: Callable, as_of: str) -> None:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        metrics, checkpoint = _run_folder(spark, name)
-        _finish(
-            job(
-                _event_stream(spark, sf_dir),
-                lambda: telemetry(spark, sf_dir),
-                metrics,
-                checkpoint,
-                as_of=as_of,
-                trigger=jobs.ONCE,
-            )
-        )
-        return _as_text(_without_time_zone(tables.read_metrics(spark, metrics), "ts"))
+    _, rejects = _ingested(spark, sf_dir, "stream_rejects")
+    return spark.read.parquet(rejects).groupBy("reject_reason").agg(F.count("*").alias("events"))
+
 
-    QUERIES[name] = query
+@_register
+def stream_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """KPIs of a day, folded from the partial sums that the stream has added up."""
+    metrics, checkpoint = _run_folder(spark, "stream_kpis")
+    stream = adapters.telemetry_from_events(_event_stream(spark, sf_dir))
+    _finish(jobs.stream_kpis(stream, f"{metrics}_partials", metrics, checkpoint, as_of=KPI_DAY_END, trigger=jobs.ONCE))
+    return _as_text(_without_time_zone(tables.read_metrics(spark, metrics).drop("date"), "ts"))
 
 
-_stream_metrics("stream_kpis", jobs.stream_kpis, KPI_AS_OF)
-_stream_metrics("stream_quality", jobs.stream_quality, QUALITY_AS_OF)
+@_register
+def stream_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    metrics, checkpoint = _run_folder(spark, "stream_quality")
+    ticks = _event_stream(spark, sf_dir)
+    _finish(
+        jobs.stream_quality(
+            ticks, lambda: telemetry(spark, sf_dir), metrics, checkpoint, as_of=QUALITY_AS_OF, trigger=jobs.ONCE
+        )
+    )
+    return _as_text(_without_time_zone(tables.read_metrics(spark, metrics).drop("date"), "ts"))

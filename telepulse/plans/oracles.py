@@ -13,9 +13,11 @@ from telepulse.plans.catalog import (
     HOURLY_RULES,
     INGEST_AS_OF,
     KPI_AS_OF,
+    KPI_DAY_END,
     NO_DATA_AS_OF,
     QUALITY_AS_OF,
     REPORT_DAY,
+    STORED_RULES,
 )
 
 EPOCH = "TIMESTAMP '1970-01-01'"
@@ -26,6 +28,22 @@ def rounded(value: str, digits: int) -> str:
     return f"CAST(round(CAST(CAST(CAST({value} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,16)), {digits}) AS DOUBLE)"
 
 
+def exact_sum(column: str) -> str:
+    """Exact sum of readings in millionths."""
+    return f"sum(CAST(round(CAST({column} AS DOUBLE) * 1000000) AS HUGEINT))"
+
+
+def exact_mean(column: str) -> str:
+    return f"({exact_sum(column)}::DOUBLE / 1000000 / nullif(count({column}), 0))"
+
+
+def rounded_mean(column: str, digits: int) -> str:
+    """Average rounded half away from zero, in whole numbers."""
+    total, count = exact_sum(column), f"count({column})"
+    units = f"(abs({total}) * {2 * 10**digits} + {count} * 1000000) // nullif({count} * 2000000, 0)"
+    return f"(sign({total}) * CAST({units} AS DOUBLE) / {10**digits} + 0.0::DOUBLE)"
+
+
 def percent(part: str, whole: str) -> str:
     return rounded(f"({part}) * 100.0::DOUBLE / nullif({whole}, 0)", 2)
 
@@ -75,23 +93,23 @@ DEVICE_COLUMNS = f"""max(event_time) AS last_seen,
   {percent("count(*) FILTER (status = 'ERROR')", "count(*)")} AS error_rate_pct,
   max(status) AS last_status,
   arg_max(status, (event_time, status)) AS latest_status,
-  {rounded("avg(battery_level)", 1)} AS avg_battery_pct,
+  {rounded_mean("battery_level", 1)} AS avg_battery_pct,
   min(battery_level) AS min_battery_pct,
-  {rounded("avg(temperature_celsius)", 1)} AS avg_temp_celsius,
+  {rounded_mean("temperature_celsius", 1)} AS avg_temp_celsius,
   max(temperature_celsius) AS max_temp_celsius,
-  {rounded("avg(speed_mps)", 2)} AS avg_speed_mps"""
+  {rounded_mean("speed_mps", 2)} AS avg_speed_mps"""
 
 FLEET_HEALTH = f"""SELECT year, month, day, fleet_id,
   count(*) AS total_events,
   count(DISTINCT device_id) AS active_devices,
   count(*) FILTER (status = 'ERROR') AS error_count,
   {percent("count(*) FILTER (status = 'ERROR')", "count(*)")} AS error_rate_pct,
-  {rounded("avg(battery_level)", 1)} AS avg_battery_pct,
+  {rounded_mean("battery_level", 1)} AS avg_battery_pct,
   count(*) FILTER (battery_level < 20) AS critical_battery_events,
   min(battery_level) AS min_battery_pct,
-  {rounded("avg(speed_mps)", 2)} AS avg_speed_mps,
+  {rounded_mean("speed_mps", 2)} AS avg_speed_mps,
   count(*) FILTER (speed_mps = 0 AND status = 'ACTIVE') AS stalled_events,
-  {rounded("avg(temperature_celsius)", 1)} AS avg_temp_celsius,
+  {rounded_mean("temperature_celsius", 1)} AS avg_temp_celsius,
   max(temperature_celsius) AS max_temp_celsius,
   count(*) FILTER (temperature_celsius > 80) AS high_temp_events
 FROM telemetry GROUP BY ALL"""
@@ -104,16 +122,16 @@ ZONES = f"""SELECT year, month, day, location_zone,
   count(DISTINCT fleet_id) AS fleet_count,
   count(*) FILTER (status = 'ERROR') AS error_count,
   {percent("count(*) FILTER (status = 'ERROR')", "count(*)")} AS error_rate_pct,
-  {rounded("avg(speed_mps)", 2)} AS avg_speed_mps,
+  {rounded_mean("speed_mps", 2)} AS avg_speed_mps,
   count(*) FILTER (speed_mps = 0) AS stopped_events,
-  {rounded("avg(battery_level)", 1)} AS avg_battery_pct,
+  {rounded_mean("battery_level", 1)} AS avg_battery_pct,
   count(*) FILTER (battery_level < 20) AS low_battery_count
 FROM telemetry GROUP BY ALL"""
 
 
 def window_rows(interval: str, where: str = "TRUE", source: str = "telemetry") -> str:
     measures = ", ".join(
-        f"{rounded(f'avg({m})', 2)} AS {m}_avg, min({m}) AS {m}_min, max({m}) AS {m}_max"
+        f"{rounded(exact_mean(m), 2)} AS {m}_avg, min({m}) AS {m}_min, max({m}) AS {m}_max"
         for m in ("temperature_celsius", "battery_level", "speed_mps")
     )
     start = f"time_bucket(INTERVAL '{interval}', event_time, {EPOCH})"
@@ -123,18 +141,13 @@ def window_rows(interval: str, where: str = "TRUE", source: str = "telemetry") -
     )
 
 
-def exact_mean(column: str) -> str:
-    """Mean of values with one decimal, from their exact sum."""
-    return f"sum(CAST({column} AS DECIMAL(20,1)))::DOUBLE / nullif(count({column}), 0)"
-
-
 # --- KPIs -------------------------------------------------------------------------
 KPI_COLUMNS = f"""count(DISTINCT device_id) AS active_device_count,
   CAST(sum(error_count) AS BIGINT) AS total_error_events,
   count(DISTINCT device_id) FILTER (error_count > 0) AS error_device_count,
   count(DISTINCT device_id) FILTER (min_battery_pct < 20) AS critical_battery_count,
-  {rounded(exact_mean("avg_battery_pct"), 1)} AS fleet_avg_battery,
-  {rounded(exact_mean("avg_temp_celsius"), 1)} AS fleet_avg_temp,
+  {rounded_mean("avg_battery_pct", 1)} AS fleet_avg_battery,
+  {rounded_mean("avg_temp_celsius", 1)} AS fleet_avg_temp,
   {percent("sum(error_count)", "sum(session_count)")} AS fleet_error_rate_pct"""
 
 
@@ -251,8 +264,7 @@ FRESHNESS_HISTORY = """hourly AS (
 
 # --- ingest ----------------------------------------------------------------------------
 VALIDATED = """validated AS (
-  SELECT telemetry.*, event_id % 11 AS fault,
-    CASE event_id % 11
+  SELECT *, CASE fault
       WHEN 0 THEN 'Missing required field: device_id'
       WHEN 1 THEN 'Missing required field: fleet_id'
       WHEN 2 THEN 'Missing or invalid field: battery_level'
@@ -261,7 +273,7 @@ VALIDATED = """validated AS (
       WHEN 5 THEN 'Missing required field: location_zone'
       WHEN 6 THEN 'Missing or invalid field: temperature_celsius'
       WHEN 7 THEN 'Failed to parse telemetry data' END AS reject_reason
-  FROM telemetry
+  FROM (SELECT *, CASE WHEN event_id % 22 IN (10, 20) THEN 7 ELSE event_id % 11 END AS fault FROM telemetry)
 )"""
 ACCEPTED = f"""accepted AS (
   SELECT device_id, fleet_id, arrival AS event_time, battery_level, speed_mps, status, error_code,
@@ -313,7 +325,7 @@ def alarm_ctes(kinds: Sequence[str], rules: Sequence[AlarmRule]) -> list[str]:
         f"comparison, periods, missing) AS (VALUES {values})",
         f"""stats AS (
   SELECT alarm, period_seconds, time_bucket(to_seconds(period_seconds), ts, {EPOCH}) AS period_start,
-    CASE any_value(statistic) WHEN 'Sum' THEN sum(value) WHEN 'Average' THEN avg(value)
+    CASE any_value(statistic) WHEN 'Sum' THEN {exact_sum("value")}::DOUBLE / 1000000 WHEN 'Average' THEN {exact_mean("value")}
       WHEN 'Maximum' THEN max(value) ELSE min(value) END AS value
   FROM points JOIN rules USING (namespace, metric, dimension_key) GROUP BY ALL
 )""",
@@ -454,8 +466,13 @@ def _html() -> str:
 
 
 def _period_stats(points: str, interval: str, names: Sequence[str], digits: int = 2) -> str:
-    functions = {"sum": "sum", "average": "avg", "maximum": "max", "minimum": "min"}
-    columns = ", ".join(f"{rounded(f'{functions[n]}(value)', digits)} AS {n}" for n in names)
+    functions = {
+        "sum": f"{exact_sum('value')}::DOUBLE / 1000000",
+        "average": exact_mean("value"),
+        "maximum": "max(value)",
+        "minimum": "min(value)",
+    }
+    columns = ", ".join(f"{rounded(functions[n], digits)} AS {n}" for n in names)
     return (
         "SELECT namespace, metric, dimension_key AS dimensions, "
         f"time_bucket(INTERVAL '{interval}', ts, {EPOCH}) AS period_start, {columns}, count(value) AS samples "
@@ -476,10 +493,7 @@ NEWEST_FIRST = ", ".join(
 SAMPLE = "device_id, fleet_id, event_time, battery_level, speed_mps, temperature_celsius"
 SAMPLE_ORDER = "event_time, device_id, fleet_id, battery_level, speed_mps, temperature_celsius"
 REPORT_FIELDS = "device_id, fleet_id, location_zone, status, error_code, event_time"
-FINAL_WINDOWS = (
-    f"newest AS (SELECT max(event_time) AS ts FROM telemetry WHERE {KEPT}), "
-    f"stats AS ({window_rows('5 minutes')})"
-)
+SIX_FIELD_START = f"time_bucket(INTERVAL '5 minutes', event_time, {EPOCH})"
 SIX_FIELD_TIME = "strftime(ts, '%Y-%m-%dT%H:%M:%SZ')"
 
 
@@ -522,9 +536,19 @@ ORACLES: dict[str, str] = {
         f"SELECT {ALL} FROM telemetry"
     ),
     "tolerant_read": over_telemetry(
-        "SELECT year || '/' || month || '/' || day AS path, count(*) AS lines, "
-        "count(*) FILTER (event_id % 13 = 0) AS skipped FROM telemetry GROUP BY ALL"
-    ),
+        "SELECT year || '/' || month || '/' || day AS path, count(*) FILTER (NOT broken) AS lines, "
+        "count(*) FILTER (NOT broken AND event_id % 13 = 0) AS skipped, CAST(1 AS BIGINT) AS files, "
+        "CAST(bool_or(broken) AS BIGINT) AS skipped_files FROM (SELECT *, CAST(event_time AS DATE) IN ("
+        "min(CAST(event_time AS DATE)) OVER (), max(CAST(event_time AS DATE)) OVER ()) AS broken FROM telemetry) GROUP BY year, month, day"
+    ),
+    "six_field_windows": f"""SELECT device_id, {SIX_FIELD_START} AS window_start, {SIX_FIELD_START} + INTERVAL 5 MINUTE AS window_end,
+  {", ".join(f"{rounded(exact_mean(m), 2)} AS {m}_avg, min({m}) AS {m}_min, max({m}) AS {m}_max" for m in ("temperature", "humidity", "pressure"))},
+  count(*) AS record_count
+FROM (
+  SELECT 'ROBOT-' || user_id AS device_id, CASE WHEN event_id % 9 <> 0 THEN value END AS temperature,
+    CASE WHEN event_id % 9 <> 1 THEN (event_id % 100)::DOUBLE END AS humidity, event_id % 50 + 0.25::DOUBLE AS pressure,
+    date_trunc('millisecond', ts) AS event_time FROM events
+) WHERE temperature BETWEEN -50 AND 150 AND {hour_before(HOUR_AS_OF)} GROUP BY ALL""",
     "repair_partitions": over_telemetry("SELECT year, month, day, count(*) AS events FROM telemetry GROUP BY ALL"),
     "read_hour": over_telemetry(f"SELECT {ALL} FROM telemetry WHERE {hour_before(HOUR_AS_OF)}"),
     "parse_csv_record": f"""SELECT 'ROBOT-' || user_id AS device_id,
@@ -680,21 +704,21 @@ FROM validated""",
     ),
     # reports
     "temperature_statistics": over_telemetry(
-        f"""SELECT device_id, fleet_id, {decimal("avg(temperature_celsius)")} AS avg_temp,
+        f"""SELECT device_id, fleet_id, CAST({rounded_mean("temperature_celsius", 2)} AS DECIMAL(5,2)) AS avg_temp,
   {decimal("min(temperature_celsius)")} AS min_temp, {decimal("max(temperature_celsius)")} AS max_temp,
   count(*) AS measurement_count FROM telemetry WHERE {IN_MONTH} GROUP BY ALL"""
     ),
     "speed_and_battery_analysis": over_telemetry(
-        f"""SELECT device_id, status, {decimal("avg(speed_mps)")} AS avg_speed,
-  {decimal("avg(battery_level)")} AS avg_battery, count(*) AS readings
+        f"""SELECT device_id, status, CAST({rounded_mean("speed_mps", 2)} AS DECIMAL(5,2)) AS avg_speed,
+  CAST({rounded_mean("battery_level", 2)} AS DECIMAL(5,2)) AS avg_battery, count(*) AS readings
 FROM telemetry WHERE {IN_MONTH} GROUP BY ALL ORDER BY avg_battery DESC, device_id, status LIMIT 10"""
     ),
     "avg_temp_by_device": over_telemetry(
-        f"SELECT device_id, {rounded('avg(temperature_celsius)', 4)} AS avg_temp, "
+        f"SELECT device_id, {rounded(exact_mean('temperature_celsius'), 4)} AS avg_temp, "
         "min(temperature_celsius) AS min_temp, max(temperature_celsius) AS max_temp FROM telemetry GROUP BY ALL"
     ),
     "device_avg_month": over_telemetry(
-        f"SELECT device_id, {rounded('avg(temperature_celsius)', 4)} AS avg_temp "
+        f"SELECT device_id, {rounded(exact_mean('temperature_celsius'), 4)} AS avg_temp "
         f"FROM telemetry WHERE {IN_MONTH} GROUP BY ALL"
     ),
     "record_count": over_telemetry("SELECT count(*) AS records FROM telemetry"),
@@ -795,20 +819,25 @@ FROM notices""",
     "render_email_html": f"WITH {NOTICES} SELECT event_id, '[' || state || '] ' || alarm_name AS subject, "
     f"{_html()} AS body_html FROM notices WHERE warning IS NULL",
     # streams
-    "stream_window_stats": over_telemetry(
-        "SELECT stats.* FROM stats, newest WHERE window_end <= newest.ts - INTERVAL 2 HOUR", FINAL_WINDOWS
-    ),
-    "stream_ingest": over_telemetry(
-        f"SELECT {FIELDS.replace('event_time', 'CASE WHEN fault <> 8 THEN event_time END AS event_time')} "
-        "FROM validated WHERE reject_reason IS NULL",
-        VALIDATED,
+    "stream_window_stats": over_telemetry(window_rows("5 minutes")),
+    "stream_deduplicated_windows": over_telemetry(window_rows("5 minutes")),
+    "stream_ingest": over_telemetry(f"SELECT {ALL} FROM accepted", VALIDATED, ACCEPTED),
+    "stream_kpis": over_telemetry(
+        kpi_metrics("kpis", "'ALL'", f"TIMESTAMP '{KPI_DAY_END}'"), device_day(day_of(KPI_DAY_END)), DAY_KPIS
+    ),
+    "alarms_carried_on": alarm_states(["kpi", "freshness"], *STORED_RULES),
+    "merge_raw": over_telemetry(
+        f"SELECT {ALL} FROM (SELECT * REPLACE (CASE WHEN v = 1 THEN 'STALE' WHEN v = 3 THEN 'FINAL' ELSE status END AS status) "
+        "FROM telemetry, range(1, 4) versions(v) WHERE v < 3 OR event_id % 3 = 0) QUALIFY row_number() OVER "
+        "(PARTITION BY device_id, date_trunc('millisecond', event_time) ORDER BY v DESC, "
+        f"{', '.join(f'{c} ASC NULLS LAST' for c in ALL.split(', '))}) = 1"
     ),
 }
 ORACLES["write_raw"] = over_telemetry(f"SELECT {ALL} FROM telemetry")
 ORACLES["write_window_stats"] = ORACLES["window_stats_daily"]
 ORACLES["append_metrics"] = over_telemetry(kpi_metrics("kpis", "'ALL'", "period_start"), kpi_history("1 hour"))
 ORACLES["stream_rejects"] = ORACLES["reject_summary"]
-ORACLES["stream_kpis"] = ORACLES["kpi_metrics"]
+ORACLES["read_mixed_csv"] = ORACLES["read_telemetry_csv"]
 ORACLES["stream_quality"] = ORACLES["quality_metrics"]
 
 assert set(ORACLES) <= set(catalog.QUERIES)

@@ -48,15 +48,50 @@ def read_telemetry_csv(spark: SparkSession, path: str) -> DataFrame:
     return _typed(_without_headers(lines)).select(*TELEMETRY_COLUMNS, *PARTITION_COLUMNS)
 
 
+# Names directly in a day's folder that are no hour's folder, as a pattern of the file system.
+_NOT_AN_HOUR = "{[!h],h[!o],ho[!u],hou[!r],hour[!=]}*"
+
+
 def read_mixed_telemetry_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The same where some files sit deeper, such as under ``hour=``."""
-    lines = (
-        spark.read.options(**_TOLERANT)
-        .option("recursiveFileLookup", "true")
-        .text(path)
-        .select("value", F.col("_metadata.file_path").alias("path"))
+    """The same where some files sit deeper, under ``hour=``: a partitioned scan of each depth, both pruned by filters."""
+    day = f"{path.rstrip('/')}/year=*/month=*/day=*"
+    depths = [depth for depth in (f"{day}/{_NOT_AN_HOUR}", f"{day}/hour=*") if _matches(spark, depth)]
+    frames = []
+    for depth in depths:
+        lines = (
+            spark.read.options(**_CSV_OPTIONS, **_TOLERANT)
+            .schema(f"{TELEMETRY_CSV_DDL}, {PARTITION_DDL}" + (", hour string" if depth.endswith("hour=*") else ""))
+            .option("basePath", path)
+            .csv(depth)
+        )
+        frames.append(_typed(_without_headers(lines)).select(*TELEMETRY_COLUMNS, *PARTITION_COLUMNS))
+    if not frames:
+        return spark.createDataFrame([], f"{TELEMETRY_DDL}, {PARTITION_DDL}")
+    return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+
+
+def _matches(spark: SparkSession, pattern: str) -> bool:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    return len(hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop_path) or []) > 0
+
+
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(path, value) of all lines under a folder; files that cannot be read are left out, as ``file_inventory`` shows."""
+    lines = spark.read.options(**_TOLERANT).option("recursiveFileLookup", "true").text(path)
+    return lines.select(F.col("_metadata.file_path").alias("path"), "value")
+
+
+def file_inventory(spark: SparkSession, path: str, lines: DataFrame) -> DataFrame:
+    """Every file under a folder that is not empty: path, length, the lines read of it, and whether it was skipped.
+
+    The listing reads no content. A file that gave no line was skipped; one that breaks off later has the lines
+    before that.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
+    read = lines.groupBy("path").agg(F.count("*").alias("lines"))
+    return listed.join(read, "path", "left").select(
+        "path", "length", F.coalesce("lines", F.lit(0)).alias("lines"), F.col("lines").isNull().alias("skipped")
     )
-    return parse_telemetry_lines(lines)
 
 
 def parse_telemetry_lines(lines: DataFrame) -> DataFrame:
@@ -100,7 +135,39 @@ def read_telemetry(spark: SparkSession, path: str) -> DataFrame:
     schema = f"{TELEMETRY_DDL}, {PARTITION_DDL}"
     if not path_exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*TELEMETRY_COLUMNS, *PARTITION_COLUMNS)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """What lies directly in a folder, by name; nothing where it is not there."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().toString() for s in system.listStatus(hadoop_path)) if system.exists(hadoop_path) else []
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+def read_note(spark: SparkSession, path: str) -> str | None:
+    """A small text file of the shared store, such as the moment of a run; None where there is none."""
+    if not path_exists(spark, path):
+        return None
+    rows = spark.read.text(path).collect()  # one line
+    return rows[0].value if rows else None
+
+
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """Put a small file into the store in place of what is there."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).create(hadoop_path, True)
+    out.write(bytearray(data))
+    out.close()
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -1,23 +1,31 @@
 """Streams built from the batch operators.
 
-Row-level work and windows run in the stream; KPIs and checks need distinct
-counts over a whole day, so each trigger recomputes them from the table.
-Table sinks are Spark's own file sinks: exactly once per checkpoint.
+Row-level work and windows run in the stream; checks need distinct counts over
+two days, so each trigger recomputes them from the table. KPIs are folded from
+partial sums that each batch adds to.
+
+A batch may run again after a failure. Every sink takes that: its rows replace
+those that the batch had written (partitions named by stream and batch), or
+those of the same keys. The moment of a batch, which stands for times that its
+rows lack, is noted beside the checkpoint when it first runs.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from telepulse.functions.calendar import AsOf, with_partition_columns
+from telepulse.functions.calendar import AsOf, moment_literal, utc_moment, with_partition_columns
 from telepulse.operators import ingest, kpi, quality, windows
-from telepulse.schema import PARTITION_COLUMNS
-from telepulse.sources.tables import append_metrics
+from telepulse.operators.filters import drop_outliers
+from telepulse.schema import PARTITION_COLUMNS, TELEMETRY_COLUMNS
+from telepulse.sources.files import read_note, remove_folder, write_note
+from telepulse.sources.tables import add_partials, append_metrics, merge_window_stats, read_partials
 
 Trigger = dict[str, object]
 
@@ -32,30 +40,45 @@ EVERY_30_MINUTES: Trigger = {"processingTime": "30 minutes"}
 LATENESS = "2 hours"
 
 
-def _to_files(
-    df: DataFrame,
-    path: str,
-    checkpoint: str,
-    partitions: list[str],
-    trigger: Trigger,
-    files: int,
-    *spread: Column | str,
+def stream_name(spark: SparkSession, checkpoint: str) -> str:
+    """A name for the stream of a checkpoint folder, however the folder is spelled."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(checkpoint)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return hashlib.sha256(system.makeQualified(folder).toString().encode()).hexdigest()[:12]
+
+
+def batch_moment(spark: SparkSession, checkpoint: str, batch_id: int, as_of: AsOf = None) -> str:
+    """When a batch first ran, the same each time it runs; ``as_of`` where that is given."""
+    if as_of is not None:
+        return utc_moment(as_of).isoformat(sep=" ")
+    note = f"{checkpoint.rstrip('/')}/moments/{batch_id}"
+    moment = read_note(spark, note)
+    if moment is None:
+        moment = utc_moment().isoformat(sep=" ")
+        write_note(spark, note, moment)
+    return moment
+
+
+def _each_batch(
+    stream: DataFrame, checkpoint: str, trigger: Trigger, work: Callable[[DataFrame, int], None], mode: str = "append"
 ) -> StreamingQuery:
-    """Append to a partitioned table, at most ``files`` files a batch and partition.
+    writer = stream.writeStream.foreachBatch(work).option("checkpointLocation", checkpoint).outputMode(mode)
+    return writer.trigger(**trigger).start()
+
 
-    Rows of a partition go to that many tasks by the hash of ``spread`` and of
-    the task that read them: one that holds most of a batch is shared out,
-    also where all its rows are alike, and quiet ones do not get a file from
-    every task.
+def write_batch(rows: DataFrame, path: str, partitions: list[str], batch: str) -> None:
+    """Write what a batch puts into each partition, in place of what it had put there.
+
+    AQE cuts a partition by size, so the number of files and tasks follows the rows of the batch.
     """
-    bucket = F.pmod(F.xxhash64(*spread, F.spark_partition_id()), F.lit(files))
-    writer = df.repartition(*partitions, bucket).writeStream.format("parquet").outputMode("append")
-    return (
-        writer.partitionBy(*partitions)
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
+    keys = [*partitions, "batch"]
+    (
+        rows.withColumn("batch", F.lit(batch))
+        .hint("rebalance", *keys)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*keys)
+        .parquet(path)
     )
 
 
@@ -64,29 +87,32 @@ def stream_ingest(
     path: str,
     checkpoint: str,
     *,
+    quarantine: str | None = None,
+    as_of: AsOf = None,
     trigger: Trigger = EVERY_MINUTE,
-    files_per_day: int = 16,
 ) -> StreamingQuery:
-    """Validate messages (column ``value``) into the day-partitioned table.
+    """Validate messages (column ``value``) into the day-partitioned table, and the rejected ones into ``quarantine``.
 
-    Late events land in the partition of their own day.
+    A batch is parsed once, into a folder beside the checkpoint that both tables are written from. Late events land
+    in the partition of their own day; events without a time get the moment of their batch (or ``as_of``).
     """
-    rows = ingest.accepted_events(ingest.ingest(raw))
-    return _to_files(rows, path, checkpoint, PARTITION_COLUMNS, trigger, files_per_day, "device_id", "event_time")
 
+    def work(messages: DataFrame, batch_id: int) -> None:
+        spark = messages.sparkSession
+        moment = batch_moment(spark, checkpoint, batch_id, as_of)
+        batch = f"{stream_name(spark, checkpoint)}-{batch_id}"
+        parsed_path = f"{checkpoint.rstrip('/')}/parsed/{batch_id}"
+        checked = ingest.ingest(messages)
+        checked.write.mode("overwrite").parquet(parsed_path)
+        parsed = spark.read.schema(checked.schema).parquet(parsed_path)
+        accepted = ingest.accepted_events(parsed, as_of=moment)
+        write_batch(accepted.select(*TELEMETRY_COLUMNS, *PARTITION_COLUMNS), path, PARTITION_COLUMNS, batch)
+        if quarantine is not None:
+            rejected = ingest.rejected_events(parsed).withColumn("rejected_at", moment_literal(moment).cast("timestamp"))
+            write_batch(rejected.withColumn("date", F.col("rejected_at").cast("date")), quarantine, ["date"], batch)
+        remove_folder(spark, parsed_path)
 
-def stream_rejects(
-    raw: DataFrame,
-    path: str,
-    checkpoint: str,
-    *,
-    trigger: Trigger = EVERY_MINUTE,
-    files_per_day: int = 16,
-) -> StreamingQuery:
-    """Write the rejected messages of the same source to a quarantine table."""
-    rejected = ingest.rejected_events(ingest.ingest(raw)).withColumn("rejected_at", F.current_timestamp())
-    dated = rejected.withColumn("date", F.col("rejected_at").cast("date"))
-    return _to_files(dated, path, checkpoint, ["date"], trigger, files_per_day, "payload")
+    return _each_batch(raw, checkpoint, trigger, work)
 
 
 def streaming_window_stats(
@@ -108,48 +134,55 @@ def stream_window_stats(
     lateness: str = LATENESS,
     deduplicate: bool = False,
     trigger: Trigger = EVERY_10_MINUTES,
-    files_per_day: int = 16,
 ) -> StreamingQuery:
-    """Append final windows to a table partitioned by the day they start in."""
+    """Merge final windows into a table partitioned by the day and hour they start in, a row a device and window."""
     stats = streaming_window_stats(telemetry, lateness=lateness, deduplicate=deduplicate)
-    rows = with_partition_columns(stats, "window_start")
-    return _to_files(rows, path, checkpoint, PARTITION_COLUMNS, trigger, files_per_day, "device_id")
+    return _each_batch(stats, checkpoint, trigger, lambda rows, _: merge_window_stats(rows, path))
 
 
-def _metrics_job(
-    ticks: DataFrame,
-    name: str,
-    compute: Callable[[], DataFrame],
-    metrics_path: str,
-    checkpoint: str,
-    trigger: Trigger,
-) -> StreamingQuery:
-    # Batches count from 0 in every checkpoint, so its folder is part of the name of a run.
-    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
-
-    def publish(_: DataFrame, batch_id: int) -> None:
-        # A batch that is run again replaces what it had written.
-        append_metrics(compute(), metrics_path, run=f"{name}-{stream}-{batch_id}")
+def finish_windows(
+    telemetry: DataFrame, path: str, *, lateness: timedelta = timedelta(hours=2), deduplicate: bool = False
+) -> None:
+    """Add the windows that are too young for the stream to have written, from the stored table ``telemetry``.
 
-    writer = ticks.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
-    return writer.trigger(**trigger).start()
+    That is the end of a backfill, or of a source that has stopped. They are merged by device and window: a window
+    that the stream writes later, or has written, is not there twice. Only the days since the youngest final window
+    are read.
+    """
+    newest = drop_outliers(telemetry).agg(F.max(F.col("event_time").cast("timestamp_ntz")).alias("newest")).first().newest
+    if newest is None:
+        return
+    since = newest - lateness - timedelta(hours=1)
+    day = F.concat_ws("-", *PARTITION_COLUMNS)
+    young = telemetry.where((day >= f"{since:%Y-%m-%d}") & (F.col("event_time") >= moment_literal(since)))
+    if deduplicate:
+        young = young.dropDuplicates(["device_id", "event_time"])
+    stats = windows.window_stats(young.withColumn("event_time", F.col("event_time").cast("timestamp")))
+    merge_window_stats(stats.where(F.col("window_end") > moment_literal(newest - lateness)), path)
 
 
 def stream_kpis(
-    ticks: DataFrame,
-    table: Callable[[], DataFrame],
+    telemetry: DataFrame,
+    partials_path: str,
     metrics_path: str,
     checkpoint: str,
     *,
     as_of: AsOf = None,
     trigger: Trigger = EVERY_5_MINUTES,
 ) -> StreamingQuery:
-    """Publish today's KPIs at each trigger that sees new rows in ``ticks``."""
+    """Add each batch to the partial sums of its days, and publish the KPIs of the batch's day from them.
+
+    No raw row is read twice: a trigger reads the batch and one snapshot of each day that the batch has rows of.
+    """
 
-    def compute() -> DataFrame:
-        return kpi.kpi_metrics(kpi.fleet_kpis(table(), as_of=as_of), as_of=as_of)
+    def work(rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
+        moment = batch_moment(spark, checkpoint, batch_id, as_of)
+        add_partials(kpi.kpi_partials(rows), partials_path, batch_id)
+        kpis = kpi.kpis_of_partials(read_partials(spark, partials_path, moment, up_to=batch_id), as_of=moment)
+        append_metrics(kpi.kpi_metrics(kpis, as_of=moment), metrics_path)
 
-    return _metrics_job(ticks, "kpi", compute, metrics_path, checkpoint, trigger)
+    return _each_batch(telemetry, checkpoint, trigger, work)
 
 
 def stream_quality(
@@ -167,7 +200,9 @@ def stream_quality(
     without data, such as the rate source.
     """
 
-    def compute() -> DataFrame:
-        return quality.quality_metrics(quality.quality_checks(table(), as_of=as_of), as_of=as_of)
+    def work(rows: DataFrame, batch_id: int) -> None:
+        moment = batch_moment(rows.sparkSession, checkpoint, batch_id, as_of)
+        checks = quality.quality_checks(table(), as_of=moment)
+        append_metrics(quality.quality_metrics(checks, as_of=moment), metrics_path)
 
-    return _metrics_job(ticks, "quality", compute, metrics_path, checkpoint, trigger)
+    return _each_batch(ticks, checkpoint, trigger, work)

@@ -1,6 +1,6 @@
 import json
 from dataclasses import replace
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from conftest import only
@@ -141,6 +141,51 @@ def test_random_series_against_brute_force(spark):
     assert len(found) == len(expected)
 
 
+def points_of(spark, rule, seconds):
+    rows = [(rule.namespace, rule.metric, v, "x", rule.dimensions, datetime(1970, 1, 1) + timedelta(seconds=s)) for s, v in seconds]
+    return spark.createDataFrame(rows, METRICS_DDL.replace("ts timestamp", "ts timestamp_ntz"))
+
+
+@pytest.mark.parametrize("periods,rows", [(1, 3), (2, 4), (3, 5)])
+def test_a_long_gap_is_few_rows(spark, periods, rows):
+    """One stray stamp of 1970 with a rule of 60 seconds: 29 million missing periods."""
+    rule = replace(THROTTLES, periods=periods)
+    now = int(START.replace(tzinfo=timezone.utc).timestamp())
+    runs = alarms.alarm_runs(points_of(spark, rule, [(0, 5.0), (now, 5.0)]), [rule]).orderBy("period_start").collect()
+    assert len(runs) == rows and sum(r.length for r in runs) == now // 60 + 1
+    assert runs[-2].state == "INSUFFICIENT_DATA" and runs[-2].length > 29_000_000
+    changes = alarms.alarm_transitions(alarms.alarm_runs(points_of(spark, rule, [(0, 5.0), (now, 5.0)]), [rule]))
+    assert changes.count() == (3 if periods == 1 else 2)
+
+
+def test_portions_equal_the_whole(spark):
+    import random
+
+    random.seed(11)
+    rules = [replace(r, name=f"{r.name}-{n}", periods=n) for r in (BATTERY, SLOW, THROTTLES) for n in (1, 2, 3)]
+    points = []
+    for rule in (BATTERY, SLOW, THROTTLES):
+        for i in range(120):
+            if random.random() < 0.3 and not 40 < i < 70:
+                value = random.choice([rule.threshold, rule.threshold + 1, 0.0])
+                points.append((rule.namespace, rule.metric, value, "x", rule.dimensions, START + timedelta(seconds=300 * i + random.randint(0, 299))))
+    metrics = spark.createDataFrame(points, METRICS_DDL.replace("ts timestamp", "ts timestamp_ntz"))
+    whole = alarms.alarm_runs(metrics, rules)
+    found, changes, carried = [], [], None
+    for minutes in (0, 7, 100, 101, 290, 300, 450, 1000):
+        until = START + timedelta(minutes=minutes)
+        since = alarms.look_back(carried, rules) if carried is not None else None
+        new = metrics if since is None else metrics.where(metrics.ts >= since)
+        runs = alarms.alarm_runs(new, rules, carried=carried, until=until)
+        found += [tuple(r) for r in alarms.alarm_periods(runs).collect()]
+        changes += [tuple(r) for r in alarms.alarm_transitions(runs, carried).collect()]
+        kept = alarms.carried_runs(runs, carried).collect()
+        carried = spark.createDataFrame(kept, alarms.CARRIED_DDL)
+        assert len(kept) <= sum(rule.periods for rule in rules)
+    assert sorted(found, key=str) == sorted((tuple(r) for r in alarms.alarm_periods(whole).collect()), key=str)
+    assert sorted(changes, key=str) == sorted((tuple(r) for r in alarms.alarm_transitions(whole).collect()), key=str)
+
+
 # --- messages ---------------------------------------------------------------------
 ALARM = {
     "AlarmName": "slow-queries",

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from telepulse.operators import health, ingest, windows
 from telepulse.schema import TELEMETRY_COLUMNS
-from telepulse.sources import files, tables
+from telepulse.sources import files, keyed, tables
 
 HEADER = ",".join(TELEMETRY_COLUMNS)
 LINE = "crane-17,harbour,2026-03-20 05:04:03,61,0.25,LIFTING,,quay-3,11.75"
@@ -103,18 +103,105 @@ def test_window_rerun_replaces_its_hours_only(spark, tmp_path, make):
     assert [(r.device_id, r.temperature_celsius_max) for r in rows] == [("R-1", 99.0), ("R-2", 25.0), ("R-1", 25.0)]
 
 
-def test_metrics_runs(spark, tmp_path):
-    path = str(tmp_path / "m")
-    row = spark.sql(
-        "SELECT 'Telemetry/Fleet' AS namespace, 'A' AS metric, 1D AS value, 'Count' AS unit, "
-        "map('Fleet', 'ALL') AS dimensions, TIMESTAMP '2026-03-20 10:00:00' AS ts"
+def metric(spark, value=1.0, fleet="ALL", ts="2026-03-20 10:00:00"):
+    return spark.sql(
+        f"SELECT 'Telemetry/Fleet' AS namespace, 'A' AS metric, {value}D AS value, 'Count' AS unit, "
+        f"map('Fleet', '{fleet}') AS dimensions, TIMESTAMP '{ts}' AS ts"
     )
-    tables.append_metrics(row, path, run="kpi-1")
-    tables.append_metrics(row.withColumn("value", F.lit(2.0)), path, run="kpi-1")
-    tables.append_metrics(row, path)
+
+
+def test_a_metric_point_is_there_once(spark, tmp_path):
+    path = str(tmp_path / "m")
+    assert tables.read_metrics(spark, path).count() == 0
+    tables.append_metrics(metric(spark), path)
+    tables.append_metrics(metric(spark, 2.0), path)
+    tables.append_metrics(metric(spark, 3.0, "F-1").union(metric(spark, 4.0, ts="2026-03-21 00:00:00")), path)
+    back = tables.read_metrics(spark, path)
+    assert sorted(r.value for r in back.collect()) == [2.0, 3.0, 4.0]
+    assert back.first().namespace == "Telemetry/Fleet" and back.first().dimensions["Fleet"] in ("ALL", "F-1")
+    plan = back.where("date = '2026-03-21'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and back.where("date = '2026-03-21'").count() == 1
+
+
+def test_a_day_of_metrics_stays_one_file(spark, tmp_path):
+    path = str(tmp_path / "m")
+    for minute in range(0, 60, 5):
+        tables.append_metrics(metric(spark, ts=f"2026-03-20 10:{minute:02d}:00"), path)
     back = tables.read_metrics(spark, path)
-    assert sorted(r.value for r in back.collect()) == [1.0, 2.0]
-    assert back.first().dimensions == {"Fleet": "ALL"} and back.first().namespace == "Telemetry/Fleet"
+    assert back.count() == 12 and len(back.inputFiles()) == 1
+
+
+def test_a_lost_merge_is_finished_by_the_next(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "m")
+    tables.append_metrics(metric(spark), path)
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    replace = keyed._replace
+    monkeypatch.setattr(keyed, "_replace", lost)
+    with pytest.raises(RuntimeError):
+        tables.append_metrics(metric(spark, 5.0).union(metric(spark, 6.0, "F-1")), path)
+    # as if a partition had already been taken away
+    keyed.remove_folder(spark, f"{path}/namespace=Telemetry%2FFleet")
+    monkeypatch.setattr(keyed, "_replace", replace)
+    os.makedirs(f"{path}__merging/half")  # and another merge had not come so far
+    tables.append_metrics(metric(spark, 7.0, ts="2026-03-21 10:00:00"), path)
+    assert sorted(r.value for r in tables.read_metrics(spark, path).collect()) == [5.0, 6.0, 7.0]
+    assert os.listdir(f"{path}__merging") == []
+
+
+def test_a_device_has_one_row_a_millisecond(spark, tmp_path, make):
+    path = str(tmp_path / "t")
+    first = make({"event_time": "2026-03-20 12:00:00.0001"}, {"event_time": "2026-03-20 12:00:00.0009", "battery_level": 7}, {"device_id": "R-2"})
+    tables.merge_raw(first.withColumn("n", F.monotonically_increasing_id()), path, F.col("n"))
+    assert sorted(r.battery_level for r in files.read_telemetry(spark, path).collect()) == [7, 50]
+    again = make({"battery_level": 9}, {"event_time": "2026-03-21 12:00:00"}, {"event_time": None})
+    for _ in range(2):
+        tables.merge_raw(again, path)
+        rows = files.read_telemetry(spark, path).collect()
+        assert sorted((r.device_id, r.battery_level) for r in rows) == [("R-1", 9), ("R-1", 50), ("R-1", 50), ("R-2", 50)]
+
+
+def test_skipped_files_are_named(spark, tmp_path):
+    root = str(tmp_path)
+    write(root, "20", "a.csv", HEADER, LINE)
+    with open(write(root, "21", "b.csv.gz", LINE), "wb") as out:
+        out.write(b"no archive")
+    write(root, "22", "c.csv", LINE, hour="07")
+    found = files.file_inventory(spark, root, files.read_lines(spark, root)).collect()
+    assert {(os.path.basename(r.path), r.lines, r.skipped) for r in found} == {
+        ("a.csv", 2, False), ("b.csv.gz", 0, True), ("c.csv", 1, False)
+    }
+
+
+def test_mixed_depths_prune(spark, tmp_path):
+    root = str(tmp_path)
+    for day in ("20", "21"):
+        write(root, day, "here.csv", HEADER, LINE)
+        write(root, day, "b.csv", LINE, hour="07")
+    df = files.read_mixed_telemetry_csv(spark, root).filter("day = '20' AND month = '03'")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(day") == 2 and df.count() == 2
+    assert files.read_mixed_telemetry_csv(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_another_session_reads_the_views(spark, table, make):
+    name, path = table
+    tables.write_raw(make({}, {"device_id": "R-2", "battery_level": 5, "status": "ERROR"}), path)
+    tables.repair_partitions(spark, name)
+    tables.create_views(spark, name)
+    other = spark.newSession()
+    try:
+        for view in (health.fleet_daily_health, health.device_status_summary, health.zone_activity):
+            wanted = view(spark.table(name))
+            found = other.table(view.__name__)
+            assert found.dtypes == wanted.dtypes and sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, wanted.collect()), key=str)
+        text = other.sql("SELECT * FROM zone_activity WHERE day = '20'")._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(day" in text
+    finally:
+        for view in health.view_sql(name):
+            spark.sql(f"DROP VIEW IF EXISTS {view}")
 
 
 def test_export_has_empty_nulls(spark, tmp_path, make):
