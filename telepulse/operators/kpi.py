@@ -106,17 +106,30 @@ def kpi_history(df: DataFrame, *, period: str = "1 day", low_battery: float = LO
     start = F.window("event_time", period)["start"].cast("timestamp_ntz")
     rows = df.where("event_time IS NOT NULL").withColumns({"kpi_day": day, "kpi_period": start})
     sums = device_sums(rows, ["kpi_day", "kpi_period", "fleet_id", "device_id"])
-    so_far = Window.partitionBy("kpi_day", "fleet_id", "device_id").orderBy("kpi_period")
+    # Dealt by day and device, all three windows need no further shuffle.
+    sums = sums.repartition("kpi_day", "device_id")
+    so_far = Window.partitionBy("kpi_day", "device_id", "fleet_id").orderBy("kpi_period")
+    of_device = Window.partitionBy("kpi_day", "device_id").orderBy("kpi_period", "fleet_id").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
     total = lambda c: F.sum(c).over(so_far)
 
     def published(name: str) -> Column:
         average = rounded_mean(total(f"{name}_sum"), total(f"{name}_count"), 1)
         return average.cast("decimal(20,1)")
 
+    def first(is_so: Column) -> Column:
+        """1 in the first row of a device's day that is so."""
+        is_so = F.coalesce(is_so, F.lit(False)) & F.col("device_id").isNotNull()
+        return (is_so & (F.count_if(is_so).over(of_device) == 1)).cast("int")
+
     states = sums.select(
-        "kpi_day", "kpi_period", "fleet_id", "device_id", "events", "errors", "battery_min",
+        "kpi_day", "kpi_period", "fleet_id", "device_id", "events", "errors",
         published("battery").alias("battery"),
         published("temperature").alias("temperature"),
+        first(F.lit(True)).alias("seen"),
+        first(F.col("errors") > 0).alias("failed"),
+        first(F.col("battery_min") < low_battery).alias("low"),
     )
     zero = F.lit(0).cast("decimal(20,1)")
 
@@ -129,26 +142,8 @@ def kpi_history(df: DataFrame, *, period: str = "1 day", low_battery: float = LO
     moved = states.withColumns(
         {"battery_d": battery[0], "battery_n": battery[1], "temperature_d": temperature[0], "temperature_n": temperature[1]}
     )
-    added = moved.groupBy("kpi_day", "kpi_period").agg(
-        *[F.sum(c).alias(c) for c in ("events", "errors", "battery_d", "battery_n", "temperature_d", "temperature_n")]
-    )
-    firsts = (
-        sums.where("device_id IS NOT NULL")
-        .groupBy("kpi_day", "device_id")
-        .agg(
-            F.min("kpi_period").alias("seen"),
-            F.min(F.when(F.col("errors") > 0, F.col("kpi_period"))).alias("failed"),
-            F.min(F.when(F.col("battery_min") < low_battery, F.col("kpi_period"))).alias("low"),
-        )
-    )
-    kinds = ("seen", "failed", "low")
-    entered = (
-        firsts.select("kpi_day", F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("kpi_period")) for k in kinds])).alias("at"))
-        .select("kpi_day", "at.kind", "at.kpi_period")
-        .where("kpi_period IS NOT NULL")
-        .groupBy("kpi_day", "kpi_period")
-        .agg(*[F.count_if(F.col("kind") == k).alias(k) for k in kinds])
-    )
+    measures = ("events", "errors", "battery_d", "battery_n", "temperature_d", "temperature_n", "seen", "failed", "low")
+    added = moved.groupBy("kpi_day", "kpi_period").agg(*[F.sum(c).alias(c) for c in measures])
     grid = rows.agg(F.min("kpi_day").alias("first"), F.max("kpi_day").alias("until")).where("first IS NOT NULL").select(
         F.explode(F.expr("sequence(first, until, interval 1 day)")).alias("kpi_day")
     )
@@ -164,7 +159,7 @@ def kpi_history(df: DataFrame, *, period: str = "1 day", low_battery: float = LO
     keys = ["kpi_day", "kpi_period"]
     of_day = Window.partitionBy("kpi_day").orderBy("kpi_period")
     running = lambda c: F.coalesce(F.sum(c).over(of_day), F.lit(0))
-    whole = grid.join(added, keys, "left").join(entered, keys, "left")
+    whole = grid.join(added, keys, "left")
     return whole.select(
         F.col("kpi_period").alias("period_start"),
         running("seen").alias("active_device_count"),
