@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telepulse.llm import bpe, cotraining, mixing, pii, setsketch
-from telepulse.llm.tables import read_table, saved
+from telepulse.llm.tables import intermediates_removed, read_table, saved
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,8 +68,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole table, each written and read again by the next."""
+    """All stages over the whole table, each written and read again by the next; what a stage wrote on its way is removed."""
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+        with intermediates_removed(spark):
+            docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}", keep=True)
     return STAGES[-1][1](spark, docs, sf_dir)
