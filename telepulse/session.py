@@ -9,6 +9,9 @@ from pyspark.sql import SparkSession
 # All calendar logic is UTC, so a TIMESTAMP column must be shown and cut in UTC.
 REQUIRED = {"spark.sql.session.timeZone": "UTC"}
 
+# Where a local session without a checkpoint folder keeps its private one.
+PRIVATE_FOLDER = "telepulse.private.folder"
+
 # Runtime re-planning: coalesce small shuffle partitions, split skewed ones.
 TUNING = {
     "spark.sql.adaptive.enabled": "true",
@@ -47,11 +50,11 @@ def shared_folder(spark: SparkSession) -> str:
 
     Only where the cluster names none (a local run) is a private one made.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(PRIVATE_FOLDER, None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="telepulse-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    spark.conf.set(PRIVATE_FOLDER, folder)  # the cluster's own setting can't be changed in a session
     return folder
