@@ -1,22 +1,25 @@
 """Phrase collocation mining by HAT-trie counting (operator 12).
 
-Phrases of one length are counted in one pass over the texts. A task counts in
-a HAT-trie: a shallow trie over word ids whose leaves are hash containers of
-phrase ends; a container that grows too large bursts into a node with one
-container a next word. A trie that reaches its limit spills its largest
-subtrees as sorted runs. Spark deals the runs by language and prefix (their
-first two words) and merges them there.
-
-A phrase can reach the least count only if both its parts without the last and
-without the first word do. So a pass takes only phrases whose parts may be in
-the table of the pass before it, which it asks of a Bloom filter: that lets
-some others pass, never stops one. The filter has 16 bits for a phrase of that
-table, and ``FILTER_BITS`` (16 MB) at most; beyond that it lets more pass and
-results stay the same. It is the only thing that is sent to all tasks.
+A phrase is counted under a 64-bit key: a byte of the id (hash) of its first
+word, one of its second word's, and 48 bits of a hash of all. A task counts in a
+HAT-trie: a shallow trie over the two bytes of word ids, whose leaves are
+containers of hashed phrases with counts; a container that grows too large
+bursts into a node. A trie that reaches its limit spills its largest subtrees
+as sorted runs. Spark deals the runs by prefix (both word bytes) and merges them
+there.
+
+A phrase can reach the least count only if its parts do, so words are counted
+first, then pairs of words that may be frequent, then longer phrases whose pairs
+all may be. That is asked of Bloom filters, which let some others pass but never
+stop one. A filter has 16 bits for a key that reached the count, and
+``FILTER_BITS`` (16 MB) at most; beyond that it lets more pass and results stay
+the same. Filters are all that is sent to every task. Keys that collide only add
+to what may be frequent: a last pass counts those phrases by their own text.
+(Within one chunk of text, equal keys are taken for equal phrases.)
 
 Scores are exact: products are 38-digit decimals, divided as whole numbers. A
 phrase is dropped for a longer one if it is for one that is a word longer, so
-each table is compared with the next one only.
+each length is compared with the next one only.
 
 Defined results: a null text is empty, a null language ``und``; repeated rows
 and rows without an id count as texts; a text of any length is read in chunks
@@ -26,7 +29,6 @@ bytes; an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
-import itertools
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -37,261 +39,180 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from telepulse.llm.shingles import mixed
+from telepulse.llm.shingles import BYTES, ROUND, mixed
 from telepulse.llm.tables import bound_batches, saved, slices
 
 LONGEST, LEAST, TOP, PERCENT = 5, 100, 2000, 100
-BURST, LIMIT, WORDS = 4096, 400_000, 300_000
-CHUNK = 4 << 20
+BURST, LIMIT, TEXTS = 16_384, 2_000_000, 200_000
+CHUNK = 2 << 20
 FILTER_BITS, PLACES = 1 << 27, 3
+DIGITS = 2  # bytes of word ids that the trie branches on
 
 # A-Z in lower case, tabs as blanks, what ends a piece as a line feed
 LETTERS = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + b"\n" * 10)
-ENDS = b"\n"
-FACTORS = mixed(np.arange(1, LONGEST + 1, dtype=np.uint64)) | np.uint64(1)
-
-
-class Container(dict):
-    """Counts by the word ids that follow its path, as bytes."""
+BLANK, END = 0x20, 0x0A
+
+
+class Words:
+    """The words of a stretch of text: their places, the pieces they are in, and hashes."""
+
+    def __init__(self, data: bytes) -> None:
+        self.data = data
+        letters = np.frombuffer(data, np.uint8)
+        solid = (letters != BLANK) & (letters != END)
+        edge = np.diff(solid.view(np.int8), prepend=0, append=0)
+        self.start, self.end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        self.piece = np.cumsum(letters == END, dtype=np.int32)[self.start]
+        self.hash = np.zeros(0, np.uint64)
+        self.fine: dict[int, np.ndarray] = {}  # which runs of one and of two words may be frequent
+        if len(self.start):
+            length = self.end - self.start
+            first = np.concatenate([[0], np.cumsum(length)[:-1]])
+            place = np.arange(int(length.sum())) - np.repeat(first, length)
+            powers = np.cumprod(np.full(int(length.max()), ROUND, np.uint64))
+            sums = np.add.reduceat(BYTES[letters[solid]] * powers[place], first)
+            self.hash = mixed(sums ^ length.astype(np.uint64))
+
+    def keys(self, size: int, lang: np.uint64) -> np.ndarray:
+        """Keys of all runs of ``size`` words, whether they are in one piece or not."""
+        n = max(0, len(self.hash) - size + 1)
+        total = np.full(n, lang + np.uint64(size), np.uint64)
+        for k in range(size):
+            total += self.hash[k : k + n] * (mixed(np.array([k + 1], np.uint64)) | np.uint64(1))
+        first, second = self.hash[:n] >> np.uint64(56), self.hash[min(1, size - 1) :][:n] >> np.uint64(48) & np.uint64(255)
+        return first << np.uint64(56) | second << np.uint64(48) | mixed(total) >> np.uint64(16)
+
+    def whole(self, size: int, known: int) -> np.ndarray:
+        """Which runs lie in one piece and end behind the first ``known`` words."""
+        n = max(0, len(self.hash) - size + 1)
+        return (self.piece[:n] == self.piece[size - 1 :][:n]) & (np.arange(n) >= known - size + 1)
+
+    def text(self, at: int, size: int) -> str:
+        return b" ".join(self.data[self.start[at] : self.end[at + size - 1]].split()).decode()
+
+
+def chunks(data: bytes, shared: int) -> Iterator[tuple[Words, int]]:
+    """Stretches of a text that end between words; each starts with the last ``shared`` words of the one before, if there
+    are as many, and says how many those are."""
+    begin, at, known = 0, 0, 0
+    while at < len(data):
+        stop = len(data)
+        if stop - at > CHUNK:
+            ends = [e for e in (data.find(b" ", at + CHUNK), data.find(b"\n", at + CHUNK)) if e >= 0]
+            stop = min(ends) + 1 if ends else stop
+        words = Words(data[begin:stop])
+        yield words, known
+        known = min(shared, len(words.start))
+        begin, at = (begin + int(words.start[-known]) if known else stop), stop
+
+
+class Container:
+    """Keys with counts; what is added waits until it is as much as what is there."""
+
+    def __init__(self) -> None:
+        self.keys, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.waiting: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self.waiting.append((keys, counts))
+        self.size += len(keys)
+        if self.size > 2 * len(self.keys) + 256:
+            self.combine()
+
+    def combine(self) -> None:
+        if self.waiting:
+            keys = np.concatenate([self.keys, *(k for k, _ in self.waiting)])
+            counts = np.concatenate([self.counts, *(c for _, c in self.waiting)])
+            order = np.argsort(keys, kind="stable")
+            keys = keys[order]
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            self.keys, self.counts, self.waiting = keys[first], np.add.reduceat(counts[order], first), []
+            self.size = len(self.keys)
 
 
 class Node(dict):
-    """Nodes or containers by the next word id."""
+    """Nodes or containers by the next byte."""
 
 
 class HatTrie:
-    """Counts of phrases of ``words`` word ids."""
+    def __init__(self) -> None:
+        self.root, self.size = Node(), 0
 
-    def __init__(self, words: int, burst: int = BURST) -> None:
-        self.words, self.burst, self.root, self.size = words, burst, Node(), 0
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        """Keys in their order."""
+        self._add(self.root, keys, counts, 0)
 
-    def add(self, phrases: np.ndarray, counts: np.ndarray) -> None:
-        """Distinct phrases, a row each, in the order of their ids."""
-        self._add(self.root, phrases, counts.tolist(), 0)
-
-    def _add(self, node: Node, phrases: np.ndarray, counts: list[int], depth: int) -> None:
-        if not len(phrases):
+    def _add(self, node: Node, keys: np.ndarray, counts: np.ndarray, depth: int) -> None:
+        if not len(keys):
             return
-        column = phrases[:, depth]
-        starts = np.concatenate([[0], np.flatnonzero(column[1:] != column[:-1]) + 1])
-        ends = [*starts[1:].tolist(), len(column)]
-        starts, heads = starts.tolist(), column[starts].tolist()
-        left = self.words - depth - 1
-        tails = np.ascontiguousarray(phrases[:, depth + 1 :], "<i4").view(f"V{4 * left}").ravel().tolist()
-        for head, a, b in zip(heads, starts, ends, strict=True):
-            child = node.get(head)
-            if child is None:
-                child = node[head] = Container()
+        digits = keys >> np.uint64(56 - 8 * depth) & np.uint64(255)
+        starts = np.flatnonzero(np.concatenate([[True], digits[1:] != digits[:-1]])).tolist()
+        for digit, a, b in zip(digits[starts].tolist(), starts, [*starts[1:], len(keys)], strict=True):
+            child = node.get(digit)
             if isinstance(child, Node):
-                self._add(child, phrases[a:b], counts[a:b], depth + 1)
+                self._add(child, keys[a:b], counts[a:b], depth + 1)
                 continue
-            before = len(child)
-            for tail, n in zip(tails[a:b], counts[a:b], strict=True):
-                child[tail] = child.get(tail, 0) + n
-            self.size += len(child) - before
-            if len(child) > self.burst and left > 1:
-                node[head] = _burst(child)
-
-    def spill(self, keep: int) -> Iterator[tuple[tuple[int, ...], int]]:
-        """Take the largest subtrees out until ``keep`` phrases are left, and give their phrases."""
-        sizes = sorted(((_size(child), head) for head, child in self.root.items()), reverse=True)
-        for size, head in sizes:
+            if child is None:
+                child = node[digit] = Container()
+            before = child.size
+            child.add(keys[a:b], counts[a:b])
+            self.size += child.size - before
+            if child.size > BURST and depth + 1 < DIGITS:
+                self.size -= child.size
+                child.combine()
+                node[digit] = Node()
+                self._add(node[digit], child.keys, child.counts, depth + 1)
+
+    def spill(self, keep: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Take the largest subtrees out until ``keep`` keys are left, each as a sorted run."""
+        for size, digit in sorted(((_size(child), digit) for digit, child in self.root.items()), reverse=True):
             if self.size <= keep:
                 break
             self.size -= size
-            yield from _phrases(self.root.pop(head), (head,))
-
-
-def _burst(container: Container) -> Node:
-    node = Node()
-    for tail, n in container.items():
-        head = int.from_bytes(tail[:4], "little")
-        if head not in node:
-            node[head] = Container()
-        node[head][tail[4:]] = n
-    return node
+            found = list(_containers(self.root.pop(digit)))
+            for container in found:
+                container.combine()
+            yield np.concatenate([c.keys for c in found]), np.concatenate([c.counts for c in found])
 
 
 def _size(tree: Node | Container) -> int:
-    return len(tree) if isinstance(tree, Container) else sum(map(_size, tree.values()))
+    return tree.size if isinstance(tree, Container) else sum(map(_size, tree.values()))
 
 
-def _phrases(tree: Node | Container, path: tuple[int, ...]) -> Iterator[tuple[tuple[int, ...], int]]:
-    if isinstance(tree, Node):
-        for head, child in tree.items():
-            yield from _phrases(child, (*path, head))
+def _containers(tree: Node | Container) -> Iterator[Container]:
+    """In the order of their keys."""
+    if isinstance(tree, Container):
+        yield tree
     else:
-        for tail, n in tree.items():
-            yield (*path, *np.frombuffer(tail, "<i4").tolist()), n
-
-
-def word_hash(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word)
-
-
-def phrase_hashes(words: np.ndarray, size: int, lang: int) -> np.ndarray:
-    """Hashes of all runs of ``size`` of the given word hashes."""
-    total = np.full(max(0, len(words) - size + 1), lang, np.uint64)
-    for k in range(size):
-        total += words[k : k + len(total)] * FACTORS[k]
-    return mixed(total)
+        for digit in sorted(tree):
+            yield from _containers(tree[digit])
 
 
 class Filter:
-    """A Bloom filter over phrase hashes."""
+    """A Bloom filter over keys."""
 
     def __init__(self, bits: np.ndarray) -> None:
         self.bits = bits  # as 64-bit numbers
 
-    def holds(self, hashes: np.ndarray) -> np.ndarray:
-        found = np.ones(len(hashes), bool)
-        for place in places(hashes, len(self.bits) * 64):
+    def holds(self, keys: np.ndarray) -> np.ndarray:
+        found = np.ones(len(keys), bool)
+        for place in places(keys, len(self.bits) * 64):
             found &= (self.bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
         return found
 
 
-def places(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
-    return [mixed(hashes + np.uint64(k + 1)) & np.uint64(bits - 1) for k in range(PLACES)]
-
-
-class Counter:
-    """Counts the phrases of ``size`` words of one language in a task, in bounded memory."""
-
-    def __init__(self, lang: str, size: int, parts: Filter | None) -> None:
-        self.lang, self.size, self.parts, self.total = lang, size, parts, 0
-        self.salt = word_hash(lang.encode())
-        self.clear()
-
-    def clear(self) -> None:
-        self.ids: dict[bytes, int] = defaultdict(itertools.count().__next__)
-        self.ids[ENDS]  # the end of a piece is number 0
-        self.hashes = np.zeros(1, np.uint64)
-        self.fine = np.zeros(1, bool)
-        self.ones = np.zeros(1, np.int64)
-        self.trie = HatTrie(self.size)
-
-    def read(self, data: bytes) -> Iterator[pa.RecordBatch]:
-        """Count a buffer of texts with line feeds between them."""
-        data = data.translate(LETTERS)
-        at, carried = 0, []
-        while at < len(data):
-            stop = len(data)
-            if stop - at > CHUNK:  # behind the next blank or end, so that no word is cut
-                ends = [e for e in (data.find(b" ", at + CHUNK), data.find(ENDS, at + CHUNK)) if e >= 0]
-                stop = min(ends) + 1 if ends else stop
-            words = [w for w in data[at:stop].replace(ENDS, b" \n ").split(b" ") if w]
-            at = stop
-            self._count(carried + words, len(carried))
-            carried = (carried + words)[-(self.size - 1) :] if self.size > 1 else []
-            if self.trie.size > LIMIT:
-                yield from self.runs(LIMIT // 2)
-            if len(self.ids) > WORDS:
-                yield from self.finish()
-
-    def _count(self, words: list[bytes], known: int) -> None:
-        ids = self.ids
-        at = np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
-        self._learn()
-        self.total += int(np.count_nonzero(at[known:]))
-        if self.size == 1:
-            self.ones += np.bincount(at, minlength=len(ids))
-            return
-        n = len(at) - self.size + 1
-        if n <= 0:
-            return
-        if self.size == 2:
-            part = self.fine[at]
-        else:
-            part = self.parts.holds(phrase_hashes(self.hashes[at], self.size - 1, np.uint64(self.salt)))
-            part[np.convolve(at == 0, np.ones(self.size - 1, int), "valid") > 0] = False
-        starts = np.flatnonzero(part[:n] & part[1 : n + 1])
-        if not len(starts):
-            return
-        # equal phrases get equal numbers, in the order of their ids
-        number = at[starts]
-        first = starts
-        for k in range(1, self.size):
-            _, first, number = np.unique((number << 32) | at[starts + k], return_index=True, return_inverse=True)
-        counts = np.bincount(number)
-        phrases = at[starts[first][:, None] + np.arange(self.size)]
-        self.trie.add(phrases, counts)
-
-    def _learn(self) -> None:
-        new = list(itertools.islice(self.ids, len(self.hashes), None))
-        if new:
-            hashes = np.array([word_hash(w) for w in new], np.uint64)
-            fine = np.ones(len(new), bool)
-            if self.size == 2:
-                fine = self.parts.holds(mixed(np.uint64(self.salt) + hashes * FACTORS[0]))
-            self.hashes = np.concatenate([self.hashes, hashes])
-            self.fine = np.concatenate([self.fine, fine])
-            if self.size == 1:
-                self.ones = np.concatenate([self.ones, np.zeros(len(new), np.int64)])
-
-    def runs(self, keep: int) -> Iterator[pa.RecordBatch]:
-        names = [w.decode() for w in self.ids]
-        if self.size == 1:
-            found = [((i,), n) for i, n in enumerate(self.ones.tolist()) if i and n]
-        else:
-            found = self.trie.spill(keep)
-        rows = sorted((" ".join([names[i] for i in path[:2]]), " ".join([names[i] for i in path]), n) for path, n in found)
-        for a in range(0, len(rows), 50_000):
-            yield self._batch(rows[a : a + 50_000])
-
-    def finish(self) -> Iterator[pa.RecordBatch]:
-        """All runs that are left, and the number of words under a null phrase."""
-        yield from self.runs(0)
-        if self.size == 1 and self.total:
-            yield self._batch([(None, None, self.total)])
-        self.total = 0
-        self.clear()
-
-    def _batch(self, rows: list[tuple]) -> pa.RecordBatch:
-        prefix, phrase, count = zip(*rows, strict=True)
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([self.lang] * len(rows), pa.string()),
-                pa.array(prefix, pa.string()),
-                pa.array(phrase, pa.string()),
-                pa.array(count, pa.int64()),
-            ],
-            names=["lang", "prefix", "phrase", "f"],
-        )
-
-
-def count_phrases(rows: DataFrame, size: int, parts: Filter | None) -> DataFrame:
-    """lang, phrase, f of phrases of ``size`` words; those of one word have a row without a phrase for all words."""
+def places(keys: np.ndarray, bits: int) -> list[np.ndarray]:
+    return [mixed(keys + np.uint64(k + 1)) & np.uint64(bits - 1) for k in range(PLACES)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counters: dict[str, Counter] = {}
-        for batch in slices(batches, "text"):
-            texts = defaultdict(list)
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                texts[lang].append(text.encode())
-            for lang, found in texts.items():
-                if lang not in counters:
-                    if len(counters) >= 8:  # languages that a task counts at once
-                        yield from counters.pop(next(iter(counters))).finish()
-                    counters[lang] = Counter(lang, size, parts)
-                yield from counters[lang].read(ENDS.join(found) + ENDS)
-        for counter in counters.values():
-            yield from counter.finish()
-
-    found = rows.mapInArrow(run, "lang string, prefix string, phrase string, f bigint")
-    return found.repartition("lang", "prefix").groupBy("lang", "prefix", "phrase").agg(F.sum("f").alias("f")).drop("prefix")
-
-
-def phrase_filter(phrases: DataFrame, n: int) -> Filter:
-    """The filter of a table (lang, phrase); each of its numbers is one row at most on its way to the driver."""
-    bits = min(FILTER_BITS, 1 << max(16, (16 * n - 1).bit_length()))
+
+def key_filter(keys: DataFrame) -> Filter:
+    """The filter of a table (key); each of its numbers is one row at most on its way to the driver."""
+    bits = min(FILTER_BITS, 1 << max(16, (16 * keys.count() - 1).bit_length()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = []
-            for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist(), strict=True):
-                words = np.array([word_hash(w) for w in phrase.encode().split(b" ")], np.uint64)
-                hashes.append(phrase_hashes(words, len(words), np.uint64(word_hash(lang.encode())))[0])
-            at = np.concatenate(places(np.array(hashes, np.uint64), bits)) if hashes else np.zeros(0, np.uint64)
+            at = np.concatenate(places(batch.column("key").to_numpy().view(np.uint64), bits))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array((at >> np.uint64(6)).astype(np.int32)),
@@ -300,12 +221,150 @@ def phrase_filter(phrases: DataFrame, n: int) -> Filter:
                 names=["slot", "mask"],
             )
 
-    slots = phrases.mapInArrow(run, "slot int, mask bigint").groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()
+    slots = keys.select("key").mapInArrow(run, "slot int, mask bigint").groupBy("slot").agg(F.bit_or("mask").alias("mask")).toArrow()
     found = np.zeros(bits // 64, np.uint64)
     found[slots.column("slot").to_numpy()] = slots.column("mask").to_numpy().view(np.uint64)
     return Filter(found)
 
 
+def possible(words: Words, known: int, size: int, lang: np.uint64, filters: list[Filter]) -> np.ndarray:
+    """Which runs of ``size`` words may be frequent: pairs by their words, longer ones by their pairs."""
+    found = words.whole(size, known)
+    parts = min(size - 1, 2)
+    if parts:
+        if parts not in words.fine:
+            words.fine[parts] = filters[parts - 1].holds(words.keys(parts, lang))
+        for k in range(size - parts + 1):
+            found &= words.fine[parts][k : k + len(found)]
+    return found
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.uint64, bytes]]:
+    """Language, its number, and texts with line feeds between them, ready to be cut into words."""
+    for batch in slices(batches, "text"):
+        texts = defaultdict(list)
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            texts[lang].append(text.encode())
+        for lang, found in texts.items():
+            yield lang, np.uint64(xxhash.xxh3_64_intdigest(lang.encode())), (b"\n".join(found) + b"\n").translate(LETTERS)
+
+
+def count_keys(rows: DataFrame, sizes: list[int], filters: list[Filter]) -> DataFrame:
+    """key, f of the phrases of these sizes (lang, text), of those that may be frequent by the filters of words and pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie = HatTrie()
+
+        def spilled(keep: int) -> Iterator[pa.RecordBatch]:
+            for keys, counts in trie.spill(keep):
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["key", "f"])
+
+        for _, lang, data in _texts(batches):
+            for words, known in chunks(data, max(sizes) - 1):
+                for size in sizes:
+                    keys = words.keys(size, lang)[possible(words, known, size, lang, filters)]
+                    trie.add(*np.unique(keys, return_counts=True))
+                    if trie.size > LIMIT:
+                        yield from spilled(LIMIT // 2)
+        yield from spilled(0)
+
+    prefix = F.shiftrightunsigned("key", 64 - 8 * DIGITS)
+    runs = rows.mapInArrow(run, "key bigint, f bigint").withColumn("prefix", prefix)
+    return runs.repartition("prefix").groupBy("prefix", "key").agg(F.sum("f").alias("f")).drop("prefix")
+
+
+RUN = pa.schema(
+    [
+        ("bucket", pa.int32()),
+        ("lang", pa.string()),
+        ("words", pa.int32()),
+        ("phrases", pa.list_(pa.string())),
+        ("counts", pa.list_(pa.int64())),
+    ]
+)
+
+
+def count_texts(rows: DataFrame, longest: int, filters: list[Filter], least: int, buckets: int) -> DataFrame:
+    """lang, words, phrase, f of the phrases that are found ``least`` times, of those that the filters of words, pairs and
+    longer ones hold; and all words of a language under a null phrase.
+
+    A task's counts leave it as sorted runs, one row for each language, length and bucket of prefixes (first two words).
+    A bucket's runs are merged in one task; there are as many buckets as keep each to about ``TEXTS`` phrases.
+    """
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[str, int] = defaultdict(int)
+        names: dict[tuple[str, int], dict[int, str]] = defaultdict(dict)
+        counts: dict[tuple[str, int], dict[int, int]] = defaultdict(dict)
+        held = 0
+
+        def flushed() -> Iterator[pa.RecordBatch]:
+            for (lang, size), found in counts.items():
+                dealt: dict[int, list[tuple[str, int]]] = defaultdict(list)
+                for key, n in found.items():
+                    phrase = names[lang, size][key]
+                    prefix = " ".join(phrase.split(" ", 2)[:2])
+                    dealt[xxhash.xxh3_64_intdigest(f"{lang} {prefix}".encode()) % buckets].append((phrase, n))
+                for bucket, run in dealt.items():
+                    run.sort()
+                    yield _run(bucket, lang, size, *zip(*run, strict=True))
+            names.clear()
+            counts.clear()
+
+        for name, lang, data in _texts(batches):
+            for words, known in chunks(data, longest - 1):
+                total[name] += len(words.start) - known
+                for size in range(1, longest + 1):
+                    at = np.flatnonzero(possible(words, known, size, lang, filters))
+                    keys = words.keys(size, lang)[at]
+                    fine = filters[min(size, len(filters)) - 1].holds(keys)
+                    keys, first, n = np.unique(keys[fine], return_index=True, return_counts=True)
+                    at = at[fine][first]
+                    spelled, found = names[name, size], counts[name, size]
+                    for key, place, count in zip(keys.tolist(), at.tolist(), n.tolist(), strict=True):
+                        if key in found:
+                            found[key] += count
+                        else:
+                            found[key], spelled[key] = count, words.text(place, size)
+                            held += 1
+                    if held > TEXTS:
+                        yield from flushed()
+                        held = 0
+        yield from flushed()
+        for name, n in total.items():
+            yield _run(xxhash.xxh3_64_intdigest(name.encode()) % buckets, name, 1, [None], [n])
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, found = None, {}
+
+        def frequent() -> pa.RecordBatch:
+            kept = [(*key, n) for key, n in found.items() if n >= least or key[2] is None]
+            columns = list(zip(*kept, strict=True)) or [[]] * 4
+            kinds = (pa.string(), pa.int32(), pa.string(), pa.int64())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["lang", "words", "phrase", "f"]
+            )
+
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["bucket"] != bucket:
+                    yield frequent()
+                    bucket, found = row["bucket"], {}
+                for phrase, n in zip(row["phrases"], row["counts"], strict=True):
+                    key = (row["lang"], row["words"], phrase)
+                    found[key] = found.get(key, 0) + n
+        yield frequent()
+
+    kind = "bucket int, lang string, words int, phrases array<string>, counts array<bigint>"
+    dealt = rows.mapInArrow(runs, kind).repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(merged, "lang string, words int, phrase string, f bigint")
+
+
+def _run(bucket: int, lang: str, size: int, phrases, counts) -> pa.RecordBatch:
+    columns = [[bucket], [lang], [size], [list(phrases)], [list(counts)]]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, RUN, strict=True)], schema=RUN)
+
+
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """lang, words (1 to ``longest``), phrase, f of all phrases found ``least`` times, and the words of a language under a null phrase."""
     bound_batches(docs.sparkSession)
@@ -313,17 +372,13 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
         F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     ).where("text <> ''")
-    parts, tables = None, []
-    for size in range(1, longest + 1):
-        counted = count_phrases(rows, size, parts).where((F.col("f") >= least) | F.col("phrase").isNull())
-        tables.append(saved(counted.select("lang", F.lit(size).alias("words"), "phrase", "f"), f"phrases-{size}"))
-        if size < longest:
-            some = tables[-1].where("phrase IS NOT NULL")
-            parts = phrase_filter(some, some.count())
-    whole = tables[0]
-    for table in tables[1:]:
-        whole = whole.unionByName(table)
-    return whole
+    filters, n = [], 0
+    for sizes in ([1], [2], list(range(3, longest + 1))):
+        if sizes and sizes[-1] <= longest:
+            counted = saved(count_keys(rows, sizes, filters).where(F.col("f") >= least).select("key"), f"phrases-{sizes[0]}")
+            filters.append(key_filter(counted))
+            n += counted.count()
+    return saved(count_texts(rows, longest, filters, least, 1 + n // TEXTS), "phrases")
 
 
 def collocations(
