@@ -3,7 +3,7 @@
 Each distinct shingle set is sketched once, whatever the number of its copies:
 register i holds a floored logarithm of the smallest exponential value that the
 i-th hash gives to a shingle, so sketches of parts merge by the maximum of
-registers. Bands of four registers put alike sets into common buckets.
+registers. Bands of five registers put alike sets into common buckets.
 
 1. A bucket's members are paired with its smallest one. Pairs whose likelihood
    estimate of the Jaccard similarity lies more than four standard deviations
@@ -39,10 +39,10 @@ from telepulse.llm.components import components
 from telepulse.llm.shingles import mixed, shingle_sets
 from telepulse.llm.tables import bound_batches, saved, slices, texts
 
-REGISTERS, ROWS, BANDS = 128, 4, 20
+REGISTERS, ROWS, BANDS = 128, 5, 25
 BASE, RATE, TOP = 1.02, 20.0, (1 << 16) - 2
 SIGMAS = 4.0
-BLOCK = 1024
+BLOCK = 256
 SALTS = mixed(np.arange(1, REGISTERS + 1, dtype=np.uint64))
 FACTORS = mixed(SALTS) | np.uint64(1)
 
@@ -89,15 +89,21 @@ def estimate(above: np.ndarray, below: np.ndarray, n_a: np.ndarray, n_b: np.ndar
     return (low + high) / 2
 
 
+def lower_bound(percent: int) -> float:
+    """SIGMAS standard deviations below the limit."""
+    limit = percent / 100
+    return limit - SIGMAS * float(np.sqrt(limit * (1 - limit) / REGISTERS))
+
+
 def hopeful(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, percent: int) -> np.ndarray:
     """Whether pairs of sketches may reach the limit: by size, by equal registers, and by the likeliest similarity.
 
     Both bounds lie SIGMAS standard deviations below the limit; registers agree at least as often as sets do.
     """
-    limit = percent / 100
-    least = limit - SIGMAS * np.sqrt(limit * (1 - limit) / REGISTERS)
+    least = lower_bound(percent)
     fine = np.minimum(n_a, n_b) * 100 >= percent * np.maximum(n_a, n_b)
-    fine &= (a == b).sum(axis=1) >= REGISTERS * least
+    at = np.flatnonzero(fine)
+    fine[at] = (a[at] == b[at]).sum(axis=1) >= REGISTERS * least
     at = np.flatnonzero(fine)
     if len(at):
         a, b = a[at], b[at]
@@ -145,14 +151,20 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return found.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
+def band_values(found: np.ndarray) -> np.ndarray:
+    """The bands of every row of registers, hashed to one number each."""
+    parts = found[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS).astype(np.uint64)
+    return mixed((parts * FACTORS[:ROWS]).sum(axis=2, dtype=np.uint64)).view(np.int64)
+
+
 def _bands(nodes: DataFrame) -> DataFrame:
-    """node, band, value: the bands of four registers as one number each."""
+    """node, band, value: the bands of five registers as one number each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 found = np.frombuffer(b"".join(batch.column("registers").to_pylist()), np.uint16).reshape(-1, REGISTERS)
-                values = np.ascontiguousarray(found[:, : BANDS * ROWS]).view(np.int64)
+                values = band_values(found)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.repeat(batch.column("node").to_numpy(), BANDS)),
@@ -271,27 +283,71 @@ def _rest(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         )
     )
 
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        found = np.frombuffer(b"".join(rows["registers"]), np.uint16).reshape(-1, REGISTERS)
-        band = int(rows["band"].iloc[0])
-        node, label, size, home = (rows[c].to_numpy() for c in ("node", "label", "n_shingles", "home"))
-        left = rows["block"].to_numpy() == rows["i"].to_numpy()
-        right = ~left if (~left).any() else left
-        values = np.ascontiguousarray(found[:, : BANDS * ROWS]).view(np.int64)
-        others, out = np.flatnonzero(right), []
-        for k in np.flatnonzero(left):
-            to = others[(label[others] != label[k]) & ((node[others] > node[k]) if right is left else True)]
-            to = to[~(values[to, :band] == values[k, :band]).any(axis=1)]
-            if len(to):
-                mine = np.broadcast_to(found[k], (len(to), REGISTERS))
-                to = to[hopeful(mine, found[to], np.full(len(to), size[k]), size[to], percent)]
-                for block in np.unique(home[to]):
-                    part = to[home[to] == block]
-                    part = part[np.argsort(-(found[part] == found[k]).sum(axis=1), kind="stable")]
-                    out.append((node[k], label[k], home[k], block, node[part], label[part]))
-        return pd.DataFrame(out, columns=["a", "label_a", "h_a", "h_b", "partners", "labels"])
-
-    return dealt.groupBy("group").applyInPandas(compare, PAIRS)
+    # few bytes are much work here, so groups are not packed into few tasks by their bytes
+    tasks = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sorted_ = dealt.repartition(tasks, "group").sortWithinPartitions("group")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left: pa.RecordBatch | None = None  # a group that may go on
+        for batch in batches:
+            if left is not None:
+                batch = pa.concat_batches([left, batch])
+            group = batch.column("group").to_numpy()
+            cut = int(np.searchsorted(group, group[-1])) if len(group) else 0
+            left = batch.slice(cut)
+            if cut:
+                yield from _compared(batch.slice(0, cut), percent)
+        if left is not None and left.num_rows:
+            yield from _compared(left, percent)
+
+    return sorted_.mapInArrow(run, PAIRS)
+
+
+PAIRS_AT_ONCE = 100_000
+
+
+def _compared(rows: pa.RecordBatch, percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows as in PAIRS of whole groups, sorted by group: many small groups are compared at once."""
+    found = np.frombuffer(b"".join(rows.column("registers").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+    group, band, node, label, size, home = (
+        rows.column(c).to_numpy() for c in ("group", "band", "node", "label", "n_shingles", "home")
+    )
+    left = rows.column("block").to_numpy() == rows.column("i").to_numpy()
+    low_bytes, values, least = (found & 255).astype(np.uint8), band_values(found), REGISTERS * lower_bound(percent)
+    starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])).tolist()
+    waiting, count = [], 0
+    for a, b in zip(starts, [*starts[1:], len(group)], strict=True):
+        one, two = a + np.flatnonzero(left[a:b]), a + np.flatnonzero(~left[a:b])
+        x, y = np.repeat(one, len(two) or len(one)), np.tile(two if len(two) else one, len(one))
+        fine = label[x] != label[y]
+        if not len(two):
+            fine &= node[y] > node[x]
+        fine &= np.minimum(size[x], size[y]) * 100 >= percent * np.maximum(size[x], size[y])
+        waiting.append((x[fine], y[fine]))
+        count += int(fine.sum())
+        if count >= PAIRS_AT_ONCE or b == len(group):
+            x, y = (np.concatenate(c) for c in zip(*waiting, strict=True))
+            waiting, count = [], 0
+            # low bytes of equal registers are equal
+            keep = (low_bytes[x] == low_bytes[y]).sum(axis=1, dtype=np.uint16) >= least
+            x, y = x[keep], y[keep]
+            keep = (values[x] == values[y]).argmax(axis=1) == band[x]  # in the first band that they share
+            x, y = x[keep], y[keep]
+            keep = hopeful(found[x], found[y], size[x], size[y], percent)
+            yield _listed(x[keep], y[keep], found, node, label, home)
+
+
+def _listed(x: np.ndarray, y: np.ndarray, found: np.ndarray, node: np.ndarray, label: np.ndarray, home: np.ndarray) -> pa.RecordBatch:
+    """Pairs of rows as lists of partners, those with the most equal registers first."""
+    order = np.lexsort((-(found[x] == found[y]).sum(axis=1), home[y], x))
+    x, y = x[order], y[order]
+    first = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (home[y[1:]] != home[y[:-1]])])) if len(x) else np.zeros(0, np.int64)
+    offsets = pa.array(np.append(first, len(x)).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(c[y])) for c in (node, label)]
+    columns = [node[x[first]], label[x[first]], home[x[first]], home[y[first]]]
+    return pa.RecordBatch.from_arrays(
+        [*map(pa.array, columns), *lists], names=["a", "label_a", "h_a", "h_b", "partners", "labels"]
+    )
 
 
 def near_duplicates(
