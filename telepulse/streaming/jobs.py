@@ -149,11 +149,13 @@ def finish_windows(
     that the stream writes later, or has written, is not there twice. Only the days since the youngest final window
     are read.
     """
-    newest = drop_outliers(telemetry).agg(F.max(F.col("event_time").cast("timestamp_ntz")).alias("newest")).first().newest
+    day = F.concat_ws("-", *PARTITION_COLUMNS)
+    kept, latest = drop_outliers(telemetry), F.max(F.col("event_time").cast("timestamp_ntz"))
+    last_day = telemetry.agg(F.max(day)).first()[0]  # from the folders' names
+    newest = kept.where(day == last_day).agg(latest).first()[0] or kept.agg(latest).first()[0]
     if newest is None:
         return
     since = newest - lateness - timedelta(hours=1)
-    day = F.concat_ws("-", *PARTITION_COLUMNS)
     young = telemetry.where((day >= f"{since:%Y-%m-%d}") & (F.col("event_time") >= moment_literal(since)))
     if deduplicate:
         young = young.dropDuplicates(["device_id", "event_time"])
