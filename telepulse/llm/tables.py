@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from telepulse.session import shared_folder
+from telepulse.sources.files import remove_folder
 
 BATCH_BYTES = 4 << 20
 
@@ -23,10 +25,30 @@ def bound_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
-def saved(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, so that its lineage ends here."""
+_MADE: list[str] = []  # folders of this process that hold intermediate tables
+
+
+@contextmanager
+def intermediates_removed(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what ``saved`` writes within, but for what is kept: for a result that has been written."""
+    start = len(_MADE)
+    try:
+        yield
+    finally:
+        for path in _MADE[start:]:
+            remove_folder(spark, path)
+        del _MADE[start:]
+
+
+def saved(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back, so that its lineage ends here.
+
+    The folder stays until a surrounding ``intermediates_removed`` ends; one to ``keep`` is left to the caller.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    if not keep:
+        _MADE.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
