@@ -33,6 +33,7 @@ from telepulse.llm.pretokens import Pieces, Vocabulary, vocabulary
 from telepulse.llm.tables import bound_batches, slices, texts
 
 CHUNK_BYTES = 2048
+RUN_IN = 512  # bytes before a chunk within a pretoken, from which the state at its start is guessed
 MOST_STATES = 1 << 18
 
 
@@ -131,29 +132,64 @@ class Transducer:
         begin = np.unique(starts[np.minimum(np.searchsorted(starts, wanted), len(starts) - 1)])
         if begin[0]:
             begin = np.concatenate([[0], begin])
-        length = np.diff(np.append(begin, n))
+        begin, run_in = self._cut(begin, n)
+        end = np.append(begin[1:], n)
+        length = end - begin + run_in
         order = np.argsort(-length, kind="stable")
-        begin, length = begin[order], length[order]
+        first, skip, length = (begin - run_in)[order], run_in[order], length[order]
         alive = np.searchsorted(-length, -np.arange(length[0]), "left")
         out = np.zeros(n, np.int8)
         state = np.zeros(len(begin), np.int64)
+        guessed = np.zeros(len(begin), np.int64)
         wide = self.to.shape[1]
         table, change = self.to.ravel(), self.change.ravel()
         for step, count in enumerate(alive.tolist()):
-            at = begin[:count] + step
-            state = state[:count]
-            state[fresh[at]] = 0
-            move = state * wide + columns[at]
+            at = first[:count] + step
+            now = state[:count]
+            entered = skip[:count] == step
+            guessed[:count][entered] = now[entered]
+            now[fresh[at]] = 0
+            move = now * wide + columns[at]
             to = table[move]
             if to.min() < 0:
                 for missing in np.unique(move[to < 0]).tolist():
                     self.compile(*divmod(missing, wide))
                 table, change = self.to.ravel(), self.change.ravel()
                 to = table[move]
-            out[at] = change[move]
-            state = to.astype(np.int64)
+            counted = skip[:count] <= step
+            out[at[counted]] = change[move[counted]]
+            state[:count] = to
+        # chunks compose where each was entered in the state that the one before it ends in; others are run again
+        left, entry = np.empty_like(state), np.empty_like(state)
+        left[order], entry[order] = state, guessed
+        for k in np.flatnonzero(run_in).tolist():
+            if not fresh[begin[k]] and left[k - 1] != entry[k]:
+                left[k] = self._again(columns, fresh, out, int(begin[k]), int(end[k]), int(left[k - 1]))
         return out
 
+    def _cut(self, begin: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Chunks of what is longer than two, and how many bytes before each of these its run begins, in the first state."""
+        more = [
+            np.arange(a + CHUNK_BYTES, b - CHUNK_BYTES, CHUNK_BYTES)
+            for a, b in zip(begin.tolist(), [*begin[1:].tolist(), n], strict=True)
+            if b - a > 2 * CHUNK_BYTES
+        ]
+        cut = np.concatenate([np.zeros(0, np.int64), *more])
+        every = np.concatenate([begin, cut])
+        order = np.argsort(every)
+        return every[order], np.repeat([0, RUN_IN], [len(begin), len(cut)])[order]
+
+    def _again(self, columns: np.ndarray, fresh: np.ndarray, out: np.ndarray, begin: int, end: int, state: int) -> int:
+        """One chunk from the state it is entered in; returns the state it ends in."""
+        for at in range(begin, end):
+            if fresh[at]:
+                state = 0
+            if self.to[state, columns[at]] < 0:
+                self.compile(state, int(columns[at]))
+            out[at] = self.change[state, columns[at]]
+            state = int(self.to[state, columns[at]])
+        return state
+
 
 @functools.lru_cache(maxsize=1)
 def transducer(path: str) -> Transducer:
