@@ -14,8 +14,8 @@ a third of all rows is many tasks; each block returns at most k rows a query.
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components take no part, as query or candidate; so do those whose length is not
 the most common one of the sample; ties go to the smaller id; equal vectors are
-neighbours of each other; rows that repeat an id count once; an empty table
-gives no rows; extra columns are ignored.
+neighbours of each other, with equal scores; of rows that repeat an id the one
+with the smallest vector counts; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -126,7 +126,7 @@ def nearest(
     out = "query_id bigint, rank int, vec_id bigint, score double"
     vector = F.col(vector_col).cast("array<double>")
     rows = table.select(F.col(id_col).cast("long").alias("vec_id"), vector.alias("vector"))
-    rows = rows.where(F.col("vec_id").isNotNull() & _usable(F.col("vector"))).dropDuplicates(["vec_id"])
+    rows = rows.where(F.col("vec_id").isNotNull() & _usable(F.col("vector"))).groupBy("vec_id").agg(F.min("vector").alias("vector"))
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()  # bounded by SAMPLE
     if not sample:
         return spark.createDataFrame([], out)
@@ -176,10 +176,16 @@ def nearest(
             asks = mine[at : at + 256]
             scores = x[asks] @ x[there].T
             scores[ids[asks][:, None] == ids[there][None]] = -np.inf
-            best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-            got = np.take_along_axis(scores, best, axis=1)
-            keep = np.isfinite(got)
-            found.append((np.broadcast_to(ids[asks][:, None], got.shape)[keep], ids[there][best][keep], got[keep]))
+            # what may be among the k best is scored again in one order of summation, so that equal vectors are equal
+            least = np.partition(scores, -k, axis=1)[:, -k, None] if scores.shape[1] > k else -np.inf
+            near = 1e-9 * np.abs(x[asks]).sum(axis=1, keepdims=True) * np.abs(x[there]).max(initial=0.0)
+            row, column = np.nonzero(np.isfinite(scores) & (scores >= least - near))
+            exact = (x[asks][row] * x[there][column]).sum(axis=1)
+            order = np.lexsort((ids[there][column], -exact, row))
+            row, column, exact = row[order], column[order], exact[order]
+            first = np.searchsorted(row, row)
+            keep = np.arange(len(row)) - first < k
+            found.append((ids[asks][row[keep]], ids[there][column[keep]], exact[keep]))
         columns = [np.concatenate(c) for c in zip(*found, strict=True)] or [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
         return pa.table({"query_id": columns[0].astype(np.int64), "vec_id": columns[1].astype(np.int64), "score": columns[2]})
 
