@@ -211,7 +211,7 @@ def _sums(rows: DataFrame, chosen: dict[str, int], widths: list[int]):
 def train(docs: DataFrame, labels: DataFrame) -> CoTrained | None:
     """The models, or None where the labels don't have both classes."""
     bound_batches(docs.sparkSession)
-    sample = labelled_sample(docs, labels, acceptable(labels), LABELLED)
+    sample = saved(labelled_sample(docs, labels, acceptable(labels), LABELLED), "cotraining-sample")
     chosen = chosen_words(sample)
     marked = _features(sample, chosen).orderBy(F.xxhash64("doc_id"), "doc_id").collect()  # bounded by LABELLED
     stacked = lambda rows, c, width: np.array([np.frombuffer(r[c], np.float32) for r in rows]).reshape(len(rows), width)

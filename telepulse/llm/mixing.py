@@ -3,7 +3,7 @@
 A classifier fitted on a bounded sample of labelled documents predicts how much
 of a document belongs to each domain: ``clean``, ``poor`` and ``toxic``, from
 its quality and toxicity labels. ``mixed_languages`` does the same for the
-languages that documents are marked with. Rates of documents, bounded below and above,
+languages that documents are marked with. Rates of documents, not below ``least`` (nor above ``most``, if given),
 are the least-squares solution of: the expected tokens of each domain, each
 document's tokens counted by rate and posterior, are the target shares of the
 total. Where rates have a least value, the total grows until every target share
@@ -11,7 +11,8 @@ can be reached by raising the others. Projected gradient starts at rate 1; its s
 tokens and a domain's mass, so the step length is known and few steps are
 needed. Each step is one aggregate of a number per domain; a document's rate is
 a fold over these numbers, so nothing is kept per document between steps and a
-lost executor costs a rescan of a table of one short row per document.
+lost executor costs a rescan of a table of one short row per document. The
+shares that the rates reach are returned with them.
 
 Defined results: a null or empty text has no tokens and rate as its posterior
 gives; repeated ids are rated row by row; without labels, or with one domain
@@ -22,6 +23,7 @@ ignored by ``mixing_rates``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -35,7 +37,7 @@ from telepulse.llm.views import LABELLED, Softmax, chosen_words, labelled_sample
 
 DOMAINS = ("clean", "poor", "toxic")
 TARGETS = {"clean": 0.92, "poor": 0.05, "toxic": 0.03}
-LEAST, MOST = 0.0, 4.0
+LEAST, MOST = 0.0, math.inf  # rates are bounded above only where a caller asks for it
 LANGUAGES, FEWEST, FLATTENED = 32, 8, 0.7  # most languages that are domains, their least documents, power of their shares
 STEPS, NEAR, STILL = 40, 1e-3, 5e-5  # most steps; as shares of all tokens, the miss and its change that end them
 
@@ -60,7 +62,7 @@ class Membership:
 
 def train(docs: DataFrame, labels: DataFrame, domain: Column | None = None, domains: int = len(DOMAINS)) -> Membership:
     bound_batches(docs.sparkSession)
-    sample = labelled_sample(docs, labels, domain_of(labels) if domain is None else domain, LABELLED)
+    sample = saved(labelled_sample(docs, labels, domain_of(labels) if domain is None else domain, LABELLED), "mixing-sample")
     chosen = chosen_words(sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,17 +156,22 @@ def fit_rates(
 def mixing_rates(
     docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, least: float = LEAST, most: float = MOST
 ) -> DataFrame:
-    """doc_id, n_tokens, a posterior per domain and the rate of every document."""
+    """doc_id, n_tokens, a posterior per domain and the rate of every document; and, alike in every row, the share of all
+    rated tokens that each domain reaches."""
     columns = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     member = train(docs, labels)
     found = with_membership(columns, member, "share", "tokens")
     table = saved(found.select("doc_id", "share", "tokens"), "mixing-members")
     steps = fit_rates(table, targets or TARGETS, least, most)
+    rated = F.col("tokens") * _rate(F.col("share"), steps, least, most)
+    sums = table.agg(F.sum(rated), *(F.sum(rated * F.col("share")[k]) for k in range(len(DOMAINS)))).first()
+    reached = [(x or 0.0) / sums[0] if sums[0] else None for x in sums[1:]]
     return table.select(
         "doc_id",
         F.col("tokens").alias("n_tokens"),
         *(F.col("share")[k].alias(f"p_{d}") for k, d in enumerate(DOMAINS)),
         _rate(F.col("share"), steps, least, most).alias("rate"),
+        *(F.lit(share).cast("double").alias(f"reached_{d}") for share, d in zip(reached, DOMAINS, strict=True)),
     )
 
 

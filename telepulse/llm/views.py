@@ -92,7 +92,10 @@ def with_defaults(docs: DataFrame) -> DataFrame:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, value, bound: int) -> DataFrame:
-    """At most ``bound`` rows with a label: the views' columns and ``y``. Only their ids, so bounded, are broadcast."""
+    """At most ``bound`` rows with a label: the views' columns and ``y``. Only their ids, so bounded, are broadcast.
+
+    Of rows that repeat an id the smallest counts, by text, language and source.
+    """
     ids = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), value.alias("y"))
         .where("doc_id IS NOT NULL AND y IS NOT NULL")
@@ -101,7 +104,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, value, bound: int) -> Da
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(bound)
     )
-    return with_defaults(docs).join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])
+    rows = with_defaults(docs).join(F.broadcast(ids), "doc_id").groupBy("doc_id")
+    one = rows.agg(F.min(F.struct("text", "lang", "source")).alias("row"), F.min("y").alias("y"))
+    return one.select("doc_id", "row.*", "y")
 
 
 def chosen_words(sample: DataFrame, bound: int = WORDS) -> dict[str, int]:
