@@ -43,7 +43,7 @@ from telepulse.llm.shingles import BYTES, ROUND, mixed
 from telepulse.llm.tables import bound_batches, saved, slices
 
 LONGEST, LEAST, TOP, PERCENT = 5, 100, 2000, 100
-BURST, LIMIT, TEXTS = 16_384, 2_000_000, 200_000
+BURST, LIMIT, TEXTS, BUCKET = 16_384, 2_000_000, 200_000, 10_000
 CHUNK = 2 << 20
 FILTER_BITS, PLACES = 1 << 27, 3
 DIGITS = 2  # bytes of word ids that the trie branches on
@@ -289,7 +289,7 @@ def count_texts(rows: DataFrame, longest: int, filters: list[Filter], least: int
     longer ones hold; and all words of a language under a null phrase.
 
     A task's counts leave it as sorted runs, one row for each language, length and bucket of prefixes (first two words).
-    A bucket's runs are merged in one task; there are as many buckets as keep each to about ``TEXTS`` phrases.
+    A bucket's runs are merged in one task; there are as many buckets as keep each to about ``BUCKET`` phrases.
     """
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -378,7 +378,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
             counted = saved(count_keys(rows, sizes, filters).where(F.col("f") >= least).select("key"), f"phrases-{sizes[0]}")
             filters.append(key_filter(counted))
             n += counted.count()
-    return saved(count_texts(rows, longest, filters, least, 1 + n // TEXTS), "phrases")
+    return saved(count_texts(rows, longest, filters, least, 1 + n // BUCKET), "phrases")
 
 
 def collocations(
