@@ -191,59 +191,68 @@ def test_phrases_against_all_counts(spark, least, top, percent):
 
 def test_spilled_and_burst_tries_count_the_same(spark, monkeypatch):
     rows = _texts(200, 9)
-    for name, value in {"LIMIT": 50, "BURST": 4, "WORDS": 5, "CHUNK": 64}.items():
+    for name, value in {"BURST": 4, "CHUNK": 64}.items():
         monkeypatch.setattr(collocations, name, value)
-    counters = {}
-    for size in range(1, 6):
-        counter, found = collocations.Counter("x", size, None if size == 1 else _Any()), Counter()
-        counter.trie = collocations.HatTrie(size, burst=4)
-        for _, text, _ in rows:
-            for batch in counter.read(text.encode() + b"\n"):
-                _add(found, batch)
-        for batch in counter.finish():
-            _add(found, batch)
-        counters[size] = found
-    wanted = Counter()
-    for _, text, _ in rows:
-        lower = re.sub("[A-Z]", lambda m: m[0].lower(), text)
-        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower):
-            words = re.findall(r"[^\x20\x09]+", piece)
-            wanted.update(" ".join(words[i : i + k]) for k in range(1, 6) for i in range(len(words) - k + 1))
-    assert sum(counters.values(), Counter()) == wanted
+    lines = spark.createDataFrame(rows, DOCS).select("lang", "text").where("lang IS NOT NULL AND text <> ''")
+    batches = lines.toArrow().to_batches()
+    found = Counter()
+    every = _Any()
+    for size in (1, 2, 3, 4, 5):
+        trie, counts = collocations.HatTrie(), Counter()
+        for _, lang, data in collocations._texts(iter(batches)):
+            for words, known in collocations.chunks(data, size - 1):
+                keys = words.keys(size, lang)[collocations.possible(words, known, size, lang, [every, every])]
+                trie.add(*np.unique(keys, return_counts=True))
+                if trie.size > 50:
+                    for keys, n in trie.spill(25):
+                        assert (keys[1:] > keys[:-1]).all()
+                        _plus(counts, keys, n)
+                    assert trie.size <= 25
+        for keys, n in trie.spill(0):
+            _plus(counts, keys, n)
+        assert trie.size == 0 and not trie.root
+        found[size] = (len(counts), sum(counts.values()))
+    wanted = {}
+    for size in (1, 2, 3, 4, 5):
+        phrases = Counter()
+        for _, text, lang in rows:
+            for piece in re.split(r"[.,;:!?\x0A-\x0D]", re.sub("[A-Z]", lambda m: m[0].lower(), text) if lang else ""):
+                words = re.findall(r"[^\x20\x09]+", piece)
+                phrases.update((lang, *words[i : i + size]) for i in range(len(words) - size + 1))
+        wanted[size] = (len(phrases), sum(phrases.values()))
+    assert dict(found) == wanted
 
 
 class _Any:
-    def holds(self, hashes):
-        return np.ones(len(hashes), bool)
+    def holds(self, keys):
+        return np.ones(len(keys), bool)
 
 
-def _add(found, batch):
-    for phrase, n in zip(batch.column("phrase").to_pylist(), batch.column("f").to_pylist(), strict=True):
-        if phrase is not None:
-            found[phrase] += n
+def _plus(counts, keys, n):
+    for key, k in zip(keys.tolist(), n.tolist(), strict=True):
+        counts[key] += k
 
 
-def test_runs_are_sorted_and_tries_burst():
-    trie = collocations.HatTrie(3, burst=3)
-    phrases = np.array([[1, a, b] for a in range(3) for b in range(3)] + [[2, 0, 0]])
-    trie.add(phrases, np.arange(1, 11))
-    assert isinstance(trie.root[1], collocations.Node) and isinstance(trie.root[2], collocations.Container)
-    trie.add(phrases, np.ones(10, int))
-    assert trie.size == 10
-    assert dict(trie.spill(0)) == {tuple(p): i + 2 for i, p in enumerate(phrases.tolist())} and trie.size == 0
+def test_tries_burst_and_spill_sorted_runs(monkeypatch):
+    monkeypatch.setattr(collocations, "BURST", 300)
+    rng = np.random.default_rng(1)
+    trie, wanted = collocations.HatTrie(), Counter()
+    for _ in range(40):
+        keys, n = np.unique(rng.choice(5000, 400).astype(np.uint64) << np.uint64(45), return_counts=True)
+        _plus(wanted, keys, n)
+        trie.add(keys, n)
+    assert any(isinstance(child, collocations.Node) for child in trie.root.values())
+    found = Counter()
+    for keys, n in trie.spill(0):
+        assert (keys[1:] > keys[:-1]).all()
+        _plus(found, keys, n)
+    assert found == wanted
 
 
 def test_filter_has_no_false_negatives(spark):
-    phrases = [f"a b{i}" for i in range(3000)]
-    some = collocations.phrase_filter(spark.createDataFrame([("en", p) for p in phrases], "lang string, phrase string"), 3000)
-
-    def hashes(of):
-        return np.concatenate([
-            collocations.phrase_hashes(np.array([collocations.word_hash(w.encode()) for w in p.split()], np.uint64), 2, np.uint64(collocations.word_hash(b"en")))
-            for p in of
-        ])
-
-    assert some.holds(hashes(phrases)).all() and some.holds(hashes([f"c d{i}" for i in range(3000)])).mean() < 0.1
+    keys = np.random.default_rng(2).integers(-(2**63), 2**63, 6000)
+    some = collocations.key_filter(spark.createDataFrame([(k,) for k in keys[:3000].tolist()], "key long"))
+    assert some.holds(keys[:3000].view(np.uint64)).all() and some.holds(keys[3000:].view(np.uint64)).mean() < 0.1
 
 
 def test_odd_phrases(spark):
@@ -377,3 +386,96 @@ def test_a_conversation_without_rows_after_damage(spark):
     gone = next(i for i in range(1000) if zlib.crc32(f"{i}:0".encode()) % 20 == 0)
     found = _digests(spark.createDataFrame([(gone, 0, "user", "Hi.")], TURNS))
     assert found == {gone: (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())}
+
+
+# --- earlier operators on inputs that broke them --------------------------------------------
+def test_domains_of_any_length_and_many_spans(spark):
+    from telepulse.llm import pii
+
+    texts = [
+        "a@b" + ".c" * 1_000_000,
+        "a@b.c.c" * 100_000,
+        "a@b.c." + ".c" * 1000,
+        "x 1.2.3.4 " * 200_000,
+        "1.2.3.4@b.c é😀 a@b.c",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    found = {r.doc_id: r for r in pii.find_pii(df).collect()}
+    assert found[0].spans == f"email:0:{3 + 2_000_000}" and found[2].n_email == 1
+    # 'a@b.c.ca' ends where the next '@' begins
+    assert found[1].n_email == len(re.findall(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", texts[1]))
+    assert found[3].n_ip == 200_000
+    clean = {r.doc_id: r.text for r in pii.redact_pii(df).collect()}
+    assert clean[0] == "[EMAIL]" and clean[3] == "x [IP] " * 200_000
+    assert clean[4] == "[EMAIL] é😀 [EMAIL]"
+
+
+def test_redaction_equals_a_plain_replacement(spark):
+    from telepulse.llm import pii
+
+    rng = random.Random(8)
+    parts = ["a@b.c", "1.2.3.4", "+1 (017) 555-7713", "4111 1111 1111 1111", "é", "😀", " ", "word ", "\n", "@", "1"]
+    texts = ["".join(rng.choices(parts, k=rng.choice([3, 30, 900]))) for _ in range(120)] + [None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = {r.doc_id: [s.split(":") for s in r.spans.split(",") if s] for r in pii.find_pii(df).collect()}
+    for row in pii.redact_pii(df).collect():
+        text, at, out = texts[row.doc_id], 0, []
+        for kind, a, b in spans[row.doc_id]:
+            if int(a) >= at:
+                out += [text[at : int(a)], f"[{kind.upper()}]"]
+            at = max(at, int(b))
+        assert row.text == (text if text is None else "".join(out) + text[at:])
+
+
+def test_equal_vectors_are_equally_near(spark):
+    from telepulse.llm import partition_index
+
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(300, 64))
+    rows = [(i, base[i % 300].tolist()) for i in range(900)] + [(5, [9.0] * 64), (20, base[20].tolist())]
+    found = defaultdict(list)
+    for r in partition_index.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), parts=4, probes=4).collect():
+        found[r.query_id].append((r["rank"], r.vec_id, r.score))
+    vectors = {i: min(tuple(v) for j, v in rows if j == i) for i in range(900)}
+    for query, got in found.items():
+        got.sort()
+        scores = defaultdict(set)
+        for _, i, s in got:
+            scores[vectors[i]].add(s)
+        assert all(len(s) == 1 for s in scores.values())
+        assert [(-s, i) for _, i, s in got] == sorted((-s, i) for _, i, s in got) and len(got) == 20, query
+
+
+def test_intermediate_tables_are_removed(spark, tmp_path, monkeypatch):
+    from telepulse.llm import tables
+
+    monkeypatch.setattr(tables, "shared_folder", lambda _: str(tmp_path))
+    with tables.intermediates_removed(spark):
+        kept = tables.saved(tables.saved(spark.range(5), "one"), "two", keep=True)
+    assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["two"] and kept.count() == 5
+
+
+def test_long_pretokens_are_cut_and_composed(monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from telepulse.llm import token_counts
+    from telepulse.llm.pretokens import vocabulary
+
+    file = public_tokenizers.path("byte_bpe_50k.json")
+    machine, library = token_counts.Transducer(vocabulary(file)), Tokenizer.from_file(file)
+    rng = random.Random(6)
+    texts = [
+        "".join(rng.choices("etaoinshr", k=30_000)),
+        "a" * 20_001,
+        "word " * 700 + "".join(rng.choices(["the", "ing", "a", "zz"], k=9000)) + " and" * 900,
+        " " * 9000 + "x" + "=" * 9001,
+        "é" * 7001,
+        "short",
+    ]
+    wanted = [len(c.ids) for c in library.encode_batch(texts, add_special_tokens=False)]
+    assert token_counts.count_tokens(texts, machine).tolist() == wanted
+    for run_in in (1, 7):  # guesses from so few bytes are often wrong
+        monkeypatch.setattr(token_counts, "RUN_IN", run_in)
+        monkeypatch.setattr(token_counts, "CHUNK_BYTES", 64)
+        assert token_counts.count_tokens(texts, machine).tolist() == wanted
