@@ -205,7 +205,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, homes: DataFrame, percent: int
     join what earlier links of the group have joined are left out.
     """
     placed = saved(pairs.withColumn("group", F.xxhash64("h_a", "h_b")), "near-pairs")
-    of_group = placed.select("group", F.explode(F.array_distinct(F.array("h_a", "h_b"))).alias("home")).distinct()
+    both = placed.select("group", "h_a", "h_b").distinct()
+    of_group = both.select("group", F.explode(F.array_distinct(F.array("h_a", "h_b"))).alias("home"))
     needed = of_group.join(homes, "home").join(sets, "node").select(F.col("group").alias("set_group"), "node", "shingles")
 
     def confirm(pairs: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
@@ -303,7 +304,7 @@ def _rest(members: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return sorted_.mapInArrow(run, PAIRS)
 
 
-PAIRS_AT_ONCE = 100_000
+PAIRS_AT_ONCE = 16_384
 
 
 def _compared(rows: pa.RecordBatch, percent: int) -> Iterator[pa.RecordBatch]:
@@ -326,15 +327,17 @@ def _compared(rows: pa.RecordBatch, percent: int) -> Iterator[pa.RecordBatch]:
         waiting.append((x[fine], y[fine]))
         count += int(fine.sum())
         if count >= PAIRS_AT_ONCE or b == len(group):
-            x, y = (np.concatenate(c) for c in zip(*waiting, strict=True))
+            every = [np.concatenate(c) for c in zip(*waiting, strict=True)]
             waiting, count = [], 0
-            # low bytes of equal registers are equal
-            keep = (low_bytes[x] == low_bytes[y]).sum(axis=1, dtype=np.uint16) >= least
-            x, y = x[keep], y[keep]
-            keep = (values[x] == values[y]).argmax(axis=1) == band[x]  # in the first band that they share
-            x, y = x[keep], y[keep]
-            keep = hopeful(found[x], found[y], size[x], size[y], percent)
-            yield _listed(x[keep], y[keep], found, node, label, home)
+            for at in range(0, len(every[0]), PAIRS_AT_ONCE):
+                x, y = (c[at : at + PAIRS_AT_ONCE] for c in every)
+                # low bytes of equal registers are equal
+                keep = (low_bytes[x] == low_bytes[y]).sum(axis=1, dtype=np.uint16) >= least
+                x, y = x[keep], y[keep]
+                keep = (values[x] == values[y]).argmax(axis=1) == band[x]  # in the first band that they share
+                x, y = x[keep], y[keep]
+                keep = hopeful(found[x], found[y], size[x], size[y], percent)
+                yield _listed(x[keep], y[keep], found, node, label, home)
 
 
 def _listed(x: np.ndarray, y: np.ndarray, found: np.ndarray, node: np.ndarray, label: np.ndarray, home: np.ndarray) -> pa.RecordBatch:
