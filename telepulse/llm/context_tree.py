@@ -24,6 +24,7 @@ text); an empty table gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,10 +33,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from telepulse.llm.shingles import word_hashes
-from telepulse.llm.tables import bound_batches, saved
+from telepulse.llm.tables import bound_batches, byte_lengths, saved
 
 DEPTH = 4
 BLOCK_BYTES = 12 << 20
+SLICE = 1 << 18  # places of a block that are numbered at once
 PART_BYTES = 1 << 20  # words are hashed in parts of a block
 END = 0xFF
 
@@ -44,50 +46,112 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 1, F.lit(False))
 
 
+class Ranks:
+    """Numbers the marked ones of ``size`` values from 0, in a bit each and a count for every 64."""
+
+    def __init__(self, size: int):
+        self.seen = np.zeros(-(-size // 64) * 64, bool)
+
+    def mark(self, values: np.ndarray) -> None:
+        self.seen[values] = True
+
+    def found(self) -> np.ndarray:
+        """The marked values in ascending order; nothing is marked after this."""
+        found = np.flatnonzero(self.seen)
+        self.bits = np.packbits(self.seen, bitorder="little").view("<u8")
+        del self.seen
+        ones = np.bitwise_count(self.bits)
+        self.before = np.cumsum(ones, dtype=np.int32) - ones
+        return found
+
+    def of(self, values: np.ndarray) -> np.ndarray:
+        word = values >> 6
+        lower = (np.uint64(1) << (values & 63).astype(np.uint64)) - np.uint64(1)
+        return self.before[word] + np.bitwise_count(self.bits[word] & lower)
+
+
 class Trie:
-    """Numbers, in lexicographic order, the distinct (DEPTH + 1)-grams of texts, for every place of a text."""
-
-    def __init__(self, texts: list[str]):
-        parts = [t.encode() for t in texts]
-        pad = bytes([END])
-        self.lengths = np.fromiter(map(len, parts), np.int64, len(parts)) + 1
-        head = pad * DEPTH
-        data = np.frombuffer(b"".join(head + p + pad for p in parts), np.uint8)
-        present = np.flatnonzero(np.bincount(data, minlength=256))
-        letter = np.zeros(256, np.int64)
+    """Numbers, in lexicographic order, the distinct (DEPTH + 1)-grams of texts, for every place of a text.
+
+    It holds a byte and a number for each place; all else is made for ``SLICE`` places at a time.
+    """
+
+    def __init__(self, texts: pa.ChunkedArray):
+        sizes = byte_lengths(texts)
+        self.lengths = sizes + 1
+        # a gram ends at each byte but those of the run before a text
+        data = np.full(int(self.lengths.sum()) + DEPTH * len(sizes), END, np.uint8)
+        self.ends = np.cumsum(self.lengths + DEPTH)
+        self.starts = self.ends - self.lengths
+        at = 0
+        for chunk in texts.chunks:
+            for text in chunk:
+                if sizes[at]:
+                    data[self.starts[at] : self.ends[at] - 1] = np.frombuffer(text.as_buffer(), np.uint8)
+                at += 1
+        seen = np.zeros(256, bool)
+        for a in range(0, len(data), SLICE):
+            seen[data[a : a + SLICE]] = True
+        present = np.flatnonzero(seen)
+        letter = np.zeros(256, np.uint8)
         letter[present] = np.arange(len(present))
-        codes = letter[data].astype(np.int32)
-        # a gram ends at each byte but those of the heads; its number grows by one byte a level
-        small = np.int32 if len(data) < 1 << 31 else np.int64
-        keep = np.ones(len(data), bool)
-        ends = np.cumsum(self.lengths + DEPTH)
-        starts = ends - self.lengths - DEPTH
-        for k in range(DEPTH):
-            keep[starts + k] = False
-        last = np.flatnonzero(keep).astype(small)
-        del keep
-        number = codes[last - DEPTH]
+        for a in range(0, len(data), SLICE):
+            data[a : a + SLICE] = letter[data[a : a + SLICE]]
+        # the number of the gram that ends at a place grows by one byte a level; at last, none ends in the run before a text
+        number = np.zeros(len(data), np.int32)
+        number[DEPTH:] = data[: len(data) - DEPTH]
         grams = present.astype(np.uint64)
         for level in range(DEPTH - 1, -1, -1):
-            wide = np.int32 if len(grams) * len(present) < 1 << 31 else np.int64
-            step = number.astype(wide) * wide(len(present)) + codes[last - small(level)]
-            seen = np.zeros(len(grams) * len(present), bool)
-            seen[step] = True
-            found = np.flatnonzero(seen)
-            rank = np.cumsum(seen, dtype=np.int32) - 1
-            number = rank[step]
+            size = len(grams) * len(present)
+            number = number.astype(np.int32 if size < 1 << 31 else np.int64, copy=False)
+            ranks = Ranks(size)
+            for a in range(DEPTH, len(data), SLICE):
+                b = min(a + SLICE, len(data))
+                step = number[a:b]
+                step *= len(present)
+                step += data[a - level : b - level]
+                ranks.mark(step if level else step[self._kept(a, b)])
+            found = ranks.found()
+            for a in range(DEPTH, len(data), SLICE):
+                number[a : a + SLICE] = ranks.of(number[a : a + SLICE])
             grams = (grams[found // len(present)] << np.uint64(8)) | present[found % len(present)].astype(np.uint64)
         self.number, self.grams = number, grams
 
+    def _slices(self) -> Iterator[tuple[np.ndarray, int, int, np.ndarray]]:
+        """The numbers at the places of texts, ``SLICE`` places at a time, with the first text that they are of, the one
+        after the last, and how many each has."""
+        for a in range(DEPTH, len(self.number), SLICE):
+            b = min(a + SLICE, len(self.number))
+            first, stop = self._owners(a, b)
+            if first < stop:
+                sizes = np.minimum(self.ends[first:stop], b) - np.maximum(self.starts[first:stop], a)
+                yield self.number[a:b][self._kept(a, b)], first, stop, sizes
+
+    def _owners(self, a: int, b: int) -> tuple[int, int]:
+        """The texts that have places from ``a`` to before ``b``."""
+        return int(np.searchsorted(self.ends, a, "right")), int(np.searchsorted(self.starts, b, "left"))
+
+    def _kept(self, a: int, b: int) -> np.ndarray:
+        """Which places from ``a`` to before ``b`` are of texts."""
+        first, stop = self._owners(a, b)
+        change = np.zeros(b - a + 1, np.int8)
+        change[np.maximum(self.starts[first:stop], a) - a] = 1
+        change[np.minimum(self.ends[first:stop], b) - a] = -1
+        return np.cumsum(change[:-1], dtype=np.int8).view(bool)
+
     def counts(self, trained: np.ndarray) -> np.ndarray:
         """How often each gram ends in the texts that are trained on."""
-        used = self.number[np.repeat(trained, self.lengths)]
-        return np.bincount(used, minlength=len(self.grams))
+        total = np.zeros(len(self.grams), np.int64)
+        for number, first, stop, sizes in self._slices():
+            np.add.at(total, number[np.repeat(trained[first:stop], sizes)], 1)
+        return total
 
     def sums(self, price: np.ndarray) -> np.ndarray:
         """Sum over each text of the prices of its grams."""
-        begins = np.concatenate([[0], np.cumsum(self.lengths)[:-1]])
-        return np.add.reduceat(price[self.number], begins)
+        total = np.zeros(len(self.lengths))
+        for number, first, stop, sizes in self._slices():
+            total[first:stop] += np.add.reduceat(price[number], np.cumsum(sizes) - sizes)
+        return total
 
 
 def _log_gamma(x: Column) -> Column:
@@ -196,39 +260,49 @@ def gram_prices(grams: DataFrame, priced: DataFrame, rows: int = 200_000) -> Dat
     return a.groupBy("bucket").cogroup(b.groupBy("bucket_of")).applyInPandas(price, "gram bigint, price double")
 
 
-def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the words of all texts, and the text of each. They are negative 64-bit hashes; keys of grams are not."""
-    keys, owners, at = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
-    ends = np.cumsum([len(t) for t in texts])
+def _tokens(texts: pa.ChunkedArray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Keys of the words of texts, and the text of each, by parts of about ``PART_BYTES``. They are negative 64-bit
+    hashes; keys of grams are not."""
+    ends = np.cumsum(byte_lengths(texts))
+    at = 0
     while at < len(texts):
         done = ends[at - 1] if at else 0
         stop = max(at + 1, int(np.searchsorted(ends, done + PART_BYTES, "right")))
-        words, begins = word_hashes(texts[at:stop])
-        keys.append((words | np.uint64(1 << 63)).view(np.int64))
-        owners.append(np.repeat(np.arange(at, stop), np.diff(begins)))
+        words, begins = word_hashes(texts.slice(at, stop - at).to_pylist())
+        yield (words | np.uint64(1 << 63)).view(np.int64), np.repeat(np.arange(at, stop), np.diff(begins))
         at = stop
-    return np.concatenate(keys), np.concatenate(owners)
+
+
+def _count_words(texts: pa.ChunkedArray, trained: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of words in ascending order, and how often each occurs in the texts that are trained on."""
+    names, times = [np.zeros(0, np.int64)], [np.zeros(0)]
+    for words, owner in _tokens(texts):
+        name, place = np.unique(words, return_inverse=True)
+        names.append(name)
+        times.append(np.bincount(place, weights=trained[owner], minlength=len(name)))
+    name, place = np.unique(np.concatenate(names), return_inverse=True)
+    return name, np.bincount(place, weights=np.concatenate(times), minlength=len(name)).astype(np.int64)
 
 
 def _count_block(table: pa.Table) -> pa.Table:
-    texts, trained = table.column("text").to_pylist(), ~table.column("held_out").to_numpy()
+    texts, trained = table.column("text"), ~table.column("held_out").to_numpy()
     trie = Trie(texts)
-    words, owner = _tokens(texts)
-    names, place = np.unique(words, return_inverse=True)
-    times = np.bincount(place, weights=trained[owner].astype(np.float64), minlength=len(names)).astype(np.int64)
-    keys = np.concatenate([trie.grams.view(np.int64), names])
+    grams, n = trie.grams.view(np.int64), trie.counts(trained)
+    del trie  # the words need its memory
+    names, times = _count_words(texts, trained)
+    keys = np.concatenate([grams, names])
     return pa.table(
         {
             "block": np.full(len(keys), table.column("block")[0].as_py(), np.int64),
             "key": keys,
-            "n": np.concatenate([trie.counts(trained), times]),
+            "n": np.concatenate([n, times]),
         }
     )
 
 
 def _score_block(end_price: float, end_known: bool, unknown_price: float, total: int):
     def score(docs: pa.Table, prices: pa.Table) -> pa.Table:
-        texts = docs.column("text").to_pylist()
+        texts, n = docs.column("text"), docs.num_rows
         key, price = prices.column("key").to_numpy(), prices.column("price").to_numpy()
         order = np.argsort(key)
         key, price = key[order], price[order]
@@ -236,19 +310,24 @@ def _score_block(end_price: float, end_known: bool, unknown_price: float, total:
         trie = Trie(texts)
         if not np.array_equal(key[grams:], trie.grams.view(np.int64)):
             raise ValueError("the prices of a block are not those of its grams")
-        words, owner = _tokens(texts)
-        paid = price[np.searchsorted(key[:grams], words)]
-        n = len(texts)
+        scores, n_bytes = trie.sums(price[grams:]), trie.lengths - 1
+        del trie  # the words need its memory
+        n_tokens, n_known, base = np.ones(n, np.int64), np.full(n, int(end_known), np.int64), np.full(n, end_price)
+        for words, owner in _tokens(texts):
+            paid = price[np.searchsorted(key[:grams], words)]
+            n_tokens += np.bincount(owner, minlength=n)
+            n_known += np.bincount(owner[paid > unknown_price], minlength=n)
+            base += np.bincount(owner, weights=paid, minlength=n)
         return pa.table(
             {
                 "doc_id": docs.column("doc_id"),
                 "held_out": docs.column("held_out"),
-                "n_tokens": np.bincount(owner, minlength=n) + 1,
-                "n_known": np.bincount(owner, weights=paid > unknown_price, minlength=n).astype(np.int64) + int(end_known),
+                "n_tokens": n_tokens,
+                "n_known": n_known,
                 "train_tokens": np.full(n, total, np.int64),
-                "base_score": np.bincount(owner, weights=paid, minlength=n) + end_price,
-                "score": trie.sums(price[grams:]),
-                "n_bytes": trie.lengths - 1,
+                "base_score": base,
+                "score": scores,
+                "n_bytes": n_bytes,
             }
         )
 
