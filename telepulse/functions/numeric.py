@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-EXACT = "decimal(20,6)"
+EXACT = "decimal(27,6)"
+AVERAGE = "decimal(22,1)"  # of averages with one place
 
 
 def round_half_up(value: Column, digits: int) -> Column:
@@ -23,7 +24,7 @@ def percentage(part: Column, whole: Column, digits: int = 2) -> Column:
 
 
 def exact(value: Column | str) -> Column:
-    """A reading as a decimal with six places; NULL where it is none (NaN, or 10^14 and more)."""
+    """A reading as a decimal with six places; NULL where it is none (NaN, or 10^21 and more)."""
     return (F.col(value) if isinstance(value, str) else value).try_cast(EXACT)
 
 
@@ -44,11 +45,13 @@ def mean(total: Column, count: Column) -> Column:
 def rounded_mean(total: Column, count: Column, digits: int) -> Column:
     """Average of an exact sum and a count, rounded half away from zero without an error on the way.
 
-    In whole numbers: twice the sum in units of the last digit, plus the count, over twice the count.
+    In whole numbers: twice the sum in units of the last digit, plus the count, over twice the count. Whole units may
+    pass 64 bits, so the remainder is taken off before the division.
     """
     scale = F.lit(2 * 10**digits).cast("decimal(4,0)")
     half = F.nullif(count, F.lit(0)).cast("decimal(20,0)")
-    units = F.call_function("div", F.abs(total) * scale + half, half * F.lit(2).cast("decimal(1,0)"))
+    whole, parts = F.abs(total) * scale + half, half * F.lit(2).cast("decimal(1,0)")
+    units = (whole - whole % parts) / parts
     return F.signum(total).cast("double") * units / F.lit(float(10**digits)) + F.lit(0.0)  # no negative zero
 
 
@@ -71,7 +74,8 @@ def exact_sql(value: str) -> str:
 
 def rounded_mean_sql(total: str, count: str, digits: int) -> str:
     half = f"cast(nullif({count}, 0) AS decimal(20,0))"
-    units = f"((abs({total}) * cast({2 * 10**digits} AS decimal(4,0)) + {half}) div ({half} * cast(2 AS decimal(1,0))))"
+    whole, parts = f"(abs({total}) * cast({2 * 10**digits} AS decimal(4,0)) + {half})", f"({half} * cast(2 AS decimal(1,0)))"
+    units = f"(({whole} - {whole} % {parts}) / {parts})"
     return f"(cast(signum({total}) AS double) * {units} / {10**digits}.0D + 0.0D)"
 
 

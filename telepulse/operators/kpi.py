@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from telepulse.functions.calendar import AsOf, in_day_partition, moment_literal, utc_moment, with_partition_columns
-from telepulse.functions.numeric import percentage, rounded_mean
+from telepulse.functions.numeric import AVERAGE, percentage, rounded_mean
 from telepulse.operators.filters import on_day
 from telepulse.operators.health import device_measures, device_sums, measures_of_sums, merged_sums
 from telepulse.schema import FLEET_NAMESPACE, LOW_BATTERY_PCT, PARTITION_COLUMNS
@@ -38,9 +38,9 @@ def _kpis(measures: DataFrame, keys: list[str], low_battery: float = LOW_BATTERY
         F.sum("error_count").alias("errors"),
         F.sum("session_count").alias("sessions"),
         F.min("min_battery_pct").alias("battery_min"),
-        F.sum(F.col("avg_battery_pct").cast("decimal(20,1)")).alias("battery_sum"),
+        F.sum(F.col("avg_battery_pct").cast(AVERAGE)).alias("battery_sum"),
         F.count("avg_battery_pct").alias("battery_count"),
-        F.sum(F.col("avg_temp_celsius").cast("decimal(20,1)")).alias("temperature_sum"),
+        F.sum(F.col("avg_temp_celsius").cast(AVERAGE)).alias("temperature_sum"),
         F.count("avg_temp_celsius").alias("temperature_count"),
     )
     known = F.col("device_id").isNotNull()
@@ -116,7 +116,7 @@ def kpi_history(df: DataFrame, *, period: str = "1 day", low_battery: float = LO
 
     def published(name: str) -> Column:
         average = rounded_mean(total(f"{name}_sum"), total(f"{name}_count"), 1)
-        return average.cast("decimal(20,1)")
+        return average.cast(AVERAGE)
 
     def first(is_so: Column) -> Column:
         """1 in the first row of a device's day that is so."""
@@ -131,7 +131,7 @@ def kpi_history(df: DataFrame, *, period: str = "1 day", low_battery: float = LO
         first(F.col("errors") > 0).alias("failed"),
         first(F.col("battery_min") < low_battery).alias("low"),
     )
-    zero = F.lit(0).cast("decimal(20,1)")
+    zero = F.lit(0).cast(AVERAGE)
 
     def change(name: str) -> tuple[Column, Column]:
         before = F.lag(name).over(so_far)
